@@ -1,7 +1,7 @@
 from keelson.functions.columns import (
     bucket_of,
     code_label,
-    decoded,
+    file_path,
     record_hash,
     surrogate_key,
 )
@@ -11,8 +11,8 @@ __all__ = [
     "all_pass",
     "bucket_of",
     "code_label",
-    "decoded",
     "failed_rules",
+    "file_path",
     "record_hash",
     "surrogate_key",
 ]

@@ -39,10 +39,12 @@ def surrogate_key(business_key: str) -> Column:
     return F.sha2(F.col(business_key), 256)
 
 
-def decoded(file_column: Column) -> Column:
-    """Spark percent-encodes file metadata. ``url_decode`` would also turn a plus sign into a
-    space, so plus signs are encoded first."""
-    return F.url_decode(F.replace(file_column, F.lit("+"), F.lit("%2B")))
+def file_path(encoded: Column) -> Column:
+    """Plain text of a file path as Spark reports it. Paths come percent-encoded; ``url_decode``
+    would also turn a plus sign into a space, so plus signs are encoded first. A scheme without
+    a host is written with one slash in file metadata and with three in file listings."""
+    plain = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^([a-zA-Z0-9+.-]+):///", "$1:/")
 
 
 def bucket_of(key: str, buckets: int) -> Column:

@@ -9,6 +9,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keelson.functions import file_path
 from keelson.operators import metrics, scd2
 from keelson.operators.cleanse import prepare, quarantined_rows, valid_rows
 from keelson.operators.dedup import latest_per_key
@@ -110,8 +111,11 @@ def ingest(
 
 def _source_keys(spark, rows: DataFrame, table: FileKeyedTable, name_from: str) -> list[str]:
     """Replace keys of every file read, those without rows included."""
-    files = spark.createDataFrame([(f,) for f in rows.inputFiles()], "_source_file_path string")
-    named = files.withColumn("_source_file_name", source_name(F.col("_source_file_path"), name_from))
+    listed = spark.createDataFrame([(f,) for f in rows.inputFiles()], "listed string")
+    named = listed.select(
+        file_path(F.col("listed")).alias("_source_file_path"),
+        source_name(F.col("listed"), name_from).alias("_source_file_name"),
+    )
     return [row[0] for row in named.select(table.replace_key).distinct().collect()]
 
 

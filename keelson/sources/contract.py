@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions import decoded
+from keelson.functions import file_path
 from keelson.spec import Contract
 
 
@@ -54,24 +54,29 @@ def feed_report(spark: SparkSession, paths: Sequence[str], contract: Contract) -
     listing Spark made for the read.
     """
     lines = spark.read.text(list(paths))
-    names = spark.createDataFrame([(p,) for p in lines.inputFiles()], "file_path string")
+    listed = spark.createDataFrame([(p,) for p in lines.inputFiles()], "listed string")
+    names = listed.select(file_path(F.col("listed")).alias("file_path"))
     first_lines = (
-        lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+        lines.select(
+            "value",
+            file_path(F.col("_metadata.file_path")).alias("file_path"),
+            "_metadata.file_block_start",
+            F.monotonically_increasing_id().alias("position"),
+        )
         .filter("file_block_start = 0")
         .groupBy("file_path")
-        .agg(F.min_by("value", F.monotonically_increasing_id()).alias("header"))
+        .agg(F.min_by("value", "position").alias("header"))
     )
     unquoted = F.replace(F.col("header"), F.lit(contract.quote), F.lit(""))
-    columns = F.transform(F.split(unquoted, f"\\Q{contract.delimiter}\\E"), F.trim)
+    columns = F.transform(F.split(unquoted, f"\\Q{contract.delimiter}\\E"), lambda c: F.trim(c))
     expected = F.array(*(F.lit(name) for name in contract.columns))
+    delimited = F.contains("header", F.lit(contract.delimiter))
     return (
         names.join(first_lines, "file_path", "left")
         .select(
-            decoded(F.col("file_path")).alias("file_path"),
+            "file_path",
             F.col("header").isNull().alias("is_empty"),
-            F.coalesce(F.contains("header", F.lit(contract.delimiter)), F.lit(False)).alias(
-                "has_delimiter"
-            ),
+            F.coalesce(delimited, F.lit(False)).alias("has_delimiter"),
             F.concat_ws(",", F.coalesce(F.array_except(expected, columns), expected)).alias(
                 "missing_columns"
             ),

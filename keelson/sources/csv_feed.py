@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keelson.functions import decoded
+from keelson.functions import file_path
 from keelson.sources.contract import checked_headers
 from keelson.spec import Contract, Run
 
@@ -37,7 +37,7 @@ def _scan(
 def source_name(path: Column, name_from: str) -> Column:
     """Name of the file, or of the folder of part files, a row came from."""
     position = {"file": -1, "folder": -2}[name_from]
-    return decoded(F.try_element_at(F.split(path, "/"), F.lit(position)))
+    return F.try_element_at(F.split(file_path(path), "/"), F.lit(position))
 
 
 def stamped(rows: DataFrame, run: Run, name_from: str = "file") -> DataFrame:
@@ -51,7 +51,7 @@ def stamped(rows: DataFrame, run: Run, name_from: str = "file") -> DataFrame:
         F.lit(run.load_type).alias("_load_type"),
         F.lit(run.as_of).alias("_created_at"),
         F.lit(run.as_of).cast("date").alias("_ingestion_date"),
-        decoded(path).alias("_source_file_path"),
+        file_path(path).alias("_source_file_path"),
         source_name(path, name_from).alias("_source_file_name"),
     )
 
