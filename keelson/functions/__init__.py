@@ -2,6 +2,7 @@ from keelson.functions.columns import (
     bucket_of,
     code_label,
     file_path,
+    plain_path,
     record_hash,
     surrogate_key,
 )
@@ -13,6 +14,7 @@ __all__ = [
     "code_label",
     "failed_rules",
     "file_path",
+    "plain_path",
     "record_hash",
     "surrogate_key",
 ]

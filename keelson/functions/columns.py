@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -47,6 +49,11 @@ def file_path(encoded: Column) -> Column:
     return F.regexp_replace(plain, "^([a-zA-Z0-9+.-]+):///", "$1:/")
 
 
+def plain_path(encoded: str) -> str:
+    """``file_path`` for a path held by the driver."""
+    return re.sub("^([a-zA-Z0-9+.-]+):///", r"\1:/", unquote(encoded))
+
+
 def bucket_of(key: str, buckets: int) -> Column:
     """Bucket by the hash Spark shuffles on, so rows shuffled by key are already grouped by
     bucket when the number of shuffle partitions is a multiple of ``buckets``."""

@@ -9,12 +9,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.functions import file_path
+from keelson.functions import plain_path
 from keelson.operators import metrics, scd2
 from keelson.operators.cleanse import prepare, quarantined_rows, valid_rows
 from keelson.operators.dedup import latest_per_key
 from keelson.operators.upsert import upsert
-from keelson.sources.csv_feed import read_drops, source_name
+from keelson.sources.csv_feed import SOURCE_PART, read_drops
 from keelson.sources.tables import BucketedTable, FileKeyedTable, SnapshotTable
 from keelson.spec import (
     BRONZE_SCHEMA,
@@ -32,15 +32,17 @@ from keelson.spec import (
 # --- DataFrame in, DataFrame out -------------------------------------------------------------
 
 
+def latest_valid(prepared: DataFrame, spec: TableSpec, run: Run) -> DataFrame:
+    """The quality rules come before the choice of the latest row, so an older valid row beats
+    a newer invalid one."""
+    valid = valid_rows(prepared, spec, run)
+    return latest_per_key(valid, spec.key, spec.order_by, spec.tie_break)
+
+
 def cleanse(bronze: DataFrame, spec: TableSpec, run: Run) -> tuple[DataFrame, DataFrame]:
-    """(latest valid row per key, quarantined rows). The quality rules come first, so an older
-    valid row beats a newer invalid one."""
+    """(latest valid row per key, quarantined rows)."""
     prepared = prepare(bronze, spec)
-    valid = valid_rows(prepared, spec, run)
-    return (
-        latest_per_key(valid, spec.key, spec.order_by, spec.tie_break),
-        quarantined_rows(prepared, spec, run),
-    )
+    return latest_valid(prepared, spec, run), quarantined_rows(prepared, spec, run)
 
 
 def silver_after(target: DataFrame | None, source: DataFrame, spec: TableSpec) -> DataFrame:
@@ -105,18 +107,17 @@ def ingest(
 ) -> DataFrame:
     """Check the drops, replace their rows in bronze, return the run's row count."""
     rows = read_drops(spark, paths, contract, run, name_from)
-    tables.bronze.replace(rows, _source_keys(spark, rows, tables.bronze, name_from))
+    tables.bronze.replace(rows, _source_keys(rows, tables.bronze, name_from))
     return metrics.run_row_count(tables.bronze.read(), run.run_id)
 
 
-def _source_keys(spark, rows: DataFrame, table: FileKeyedTable, name_from: str) -> list[str]:
+def _source_keys(rows: DataFrame, table: FileKeyedTable, name_from: str) -> list[str]:
     """Replace keys of every file read, those without rows included."""
-    listed = spark.createDataFrame([(f,) for f in rows.inputFiles()], "listed string")
-    named = listed.select(
-        file_path(F.col("listed")).alias("_source_file_path"),
-        source_name(F.col("listed"), name_from).alias("_source_file_name"),
-    )
-    return [row[0] for row in named.select(table.replace_key).distinct().collect()]
+    position = SOURCE_PART[name_from]
+    paths = {plain_path(listed) for listed in rows.inputFiles()}
+    if table.replace_key == "_source_file_path":
+        return sorted(paths)
+    return sorted({path.split("/")[position] for path in paths})
 
 
 def clean(

@@ -34,10 +34,12 @@ def _scan(
     )
 
 
+# Which part of the path names the source: the file, or its folder of part files.
+SOURCE_PART = {"file": -1, "folder": -2}
+
+
 def source_name(path: Column, name_from: str) -> Column:
-    """Name of the file, or of the folder of part files, a row came from."""
-    position = {"file": -1, "folder": -2}[name_from]
-    return F.try_element_at(F.split(file_path(path), "/"), F.lit(position))
+    return F.try_element_at(F.split(file_path(path), "/"), F.lit(SOURCE_PART[name_from]))
 
 
 def stamped(rows: DataFrame, run: Run, name_from: str = "file") -> DataFrame:

@@ -7,9 +7,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,39 +82,29 @@ class FileKeyedTable:
         stored = T.StructType([*self.schema.fields, T.StructField(self.PARTITION, T.StringType())])
         return self.spark.read.schema(stored).parquet(self.path).drop(self.PARTITION)
 
-    def _partition_of(self, name):
-        return F.concat(F.lit("f"), F.md5(name))
+    def _keyed(self, rows: DataFrame) -> DataFrame:
+        key = F.concat(F.lit("f"), F.md5(self.replace_key))
+        return conform(rows, self.schema).withColumn(self.PARTITION, key)
 
     def replace(self, rows: DataFrame, names: Sequence[str]) -> None:
         """Replace the rows of the sources ``names`` by ``rows``. A source without rows (a file
-        that has only its header) writes no partition, so what it had before is cleared."""
-        keyed = conform(rows, self.schema).withColumn(
-            self.PARTITION, self._partition_of(F.col(self.replace_key))
-        )
-        stored = self.exists()
+        that has only its header) writes no partition, so what it had before is cleared.
+
+        Which sources had rows is observed by the write itself: a set stays right when a task
+        is repeated, and it is no larger than ``names``.
+        """
+        had_rows = Observation()
+        keyed = self._keyed(rows).observe(had_rows, F.collect_set(self.PARTITION).alias("keys"))
         replace_partitions(keyed, self.path, self.PARTITION)
-        if stored:
-            self._clear_unwritten(rows, names)
-
-    def _clear_unwritten(self, rows: DataFrame, names: Sequence[str]) -> None:
-        key = self.replace_key
-        asked = self.spark.createDataFrame([(n,) for n in names], f"{key} string")
-        gone = (
-            asked.join(rows.select(key).distinct(), key, "left_anti")
-            .select(self._partition_of(F.col(key)).alias("p"))
-            .collect()
-        )
-        for row in gone:
-            folder = f"{self.path}/{self.PARTITION}={row.p}"
+        asked = {"f" + hashlib.md5(name.encode()).hexdigest() for name in names}
+        for key in sorted(asked - set(had_rows.get["keys"])):
+            folder = f"{self.path}/{self.PARTITION}={key}"
             if path_exists(self.spark, folder):
                 empty(self.spark, self.schema).write.mode("overwrite").parquet(folder)
 
     def overwrite(self, rows: DataFrame) -> None:
         """Replace everything."""
-        keyed = conform(rows, self.schema).withColumn(
-            self.PARTITION, self._partition_of(F.col(self.replace_key))
-        )
-        keyed.write.partitionBy(self.PARTITION).mode("overwrite").parquet(self.path)
+        self._keyed(rows).write.partitionBy(self.PARTITION).mode("overwrite").parquet(self.path)
 
 
 class SnapshotTable:

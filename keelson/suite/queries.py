@@ -54,32 +54,42 @@ def all_queries() -> dict[str, Query]:
 # --- States of the tables after each run ------------------------------------------------------
 
 
-def _bronze_upto(spark, sf_dir, n) -> DataFrame:
-    """What bronze holds after run ``n``. The batch of a delivery follows from its table and
-    date, so the filter reaches the scan."""
-    master, orders = feed.master(spark, sf_dir), feed.order_deliveries(spark, sf_dir)
-    if n == 1:
-        return master
-    return master.unionByName(orders.filter(F.col("_batch_id") <= RUNS[n - 1].batch_id))
+def _sources(spark, sf_dir, n) -> list[DataFrame]:
+    """Latest valid row per key of runs 1 to ``n``. The batch of a delivery follows from its
+    table and date, so the filter on the batch reaches the scans."""
+    prepared = prepare(feed.bronze(spark, sf_dir), SPEC)
+    return [
+        jobs.latest_valid(prepared.filter(F.col("_batch_id") <= run.batch_id), SPEC, run)
+        for run in RUNS[:n]
+    ]
+
+
+def _silvers(spark, sf_dir, n, spec=SPEC) -> list[DataFrame]:
+    """The silver table after runs 1 to ``n``."""
+    states = []
+    for source in _sources(spark, sf_dir, n):
+        states.append(jobs.silver_after(states[-1] if states else None, source, spec))
+    return states
+
+
+def _golds(silvers: list[DataFrame]) -> list[DataFrame]:
+    """The dimension after the same runs."""
+    states = []
+    for silver, run in zip(silvers, RUNS):
+        states.append(jobs.gold_after(states[-1] if states else None, silver, run))
+    return states
 
 
 def _source(spark, sf_dir, n) -> DataFrame:
-    """Latest valid row per key of run ``n``."""
-    return jobs.cleanse(_bronze_upto(spark, sf_dir, n), SPEC, RUNS[n - 1])[0]
+    return _sources(spark, sf_dir, n)[-1]
 
 
 def _silver(spark, sf_dir, n, spec=SPEC) -> DataFrame:
-    state = None
-    for i in range(1, n + 1):
-        state = jobs.silver_after(state, _source(spark, sf_dir, i), spec)
-    return state
+    return _silvers(spark, sf_dir, n, spec)[-1]
 
 
 def _gold(spark, sf_dir, n) -> DataFrame:
-    state = None
-    for i in range(1, n + 1):
-        state = jobs.gold_after(state, _silver(spark, sf_dir, i), RUNS[i - 1])
-    return state
+    return _golds(_silvers(spark, sf_dir, n))[-1]
 
 
 def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -211,15 +221,16 @@ def upsert_all_columns(spark, sf_dir):
 
 @query
 def upsert_new_keys(spark, sf_dir):
-    return new_keys(_silver(spark, sf_dir, 1), _source(spark, sf_dir, 2), SPEC.key)
+    first, second = _sources(spark, sf_dir, 2)
+    return new_keys(first, second, SPEC.key)
 
 
 @query
 def upsert_rerun(spark, sf_dir):
     """The same source applied twice; it is not known to be unique here, so that is checked."""
-    source = _source(spark, sf_dir, 2)
-    once = upsert(_silver(spark, sf_dir, 1), source, SPEC.key, SPEC.hash_column)
-    return upsert(once, source, SPEC.key, SPEC.hash_column)
+    first, second = _sources(spark, sf_dir, 2)
+    once = upsert(first, second, SPEC.key, SPEC.hash_column)
+    return upsert(once, second, SPEC.key, SPEC.hash_column)
 
 
 @query
@@ -237,14 +248,14 @@ def scd2_initial(spark, sf_dir):
 
 @query
 def next_version(spark, sf_dir):
-    source = scd2.dimension_source(_silver(spark, sf_dir, 2))
-    return scd2.next_versions(source, _gold(spark, sf_dir, 1))
+    first, second = _silvers(spark, sf_dir, 2)
+    return scd2.next_versions(scd2.dimension_source(second), _golds([first])[0])
 
 
 @query
 def detect_changes(spark, sf_dir):
-    source = scd2.dimension_source(_silver(spark, sf_dir, 2))
-    return scd2.changed_rows(source, _gold(spark, sf_dir, 1))
+    first, second = _silvers(spark, sf_dir, 2)
+    return scd2.changed_rows(scd2.dimension_source(second), _golds([first])[0])
 
 
 @query
@@ -255,14 +266,15 @@ def scd2_apply(spark, sf_dir):
 @query
 def scd2_rerun(spark, sf_dir):
     """Applying a run to the dimension that already holds it changes nothing."""
-    silver = _silver(spark, sf_dir, 2)
-    return jobs.gold_after(_stored(spark, _gold(spark, sf_dir, 2), "gold"), silver, RUNS[1])
+    silvers = _silvers(spark, sf_dir, 2)
+    return jobs.gold_after(_stored(spark, _golds(silvers)[-1], "gold"), silvers[-1], RUNS[1])
 
 
 @query
 def gold_build(spark, sf_dir):
-    after_two = _stored(spark, _gold(spark, sf_dir, 2), "gold")
-    return jobs.gold_after(after_two, _silver(spark, sf_dir, 3), RUNS[2])
+    silvers = _silvers(spark, sf_dir, 3)
+    after_two = _stored(spark, _golds(silvers[:2])[-1], "gold")
+    return jobs.gold_after(after_two, silvers[-1], RUNS[2])
 
 
 @query
