@@ -1,0 +1,105 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from keelson.functions import all_pass, failed_rules, record_hash
+from keelson.operators.cleanse import prepare, quarantined_rows, valid_rows
+from keelson.operators.metrics import run_metrics
+from keelson.plans.jobs import cleanse
+from keelson.spec import CUSTOMER_RULES, CUSTOMER_SPEC, QUARANTINE_SCHEMA, REGIONS, SILVER_SCHEMA
+
+
+def test_standardised_values_region_and_hash(raw_rows, run_at):
+    row = valid_rows(
+        prepare(raw_rows(("1", "u", " 14409 ", " são paulo", "sp ")), CUSTOMER_SPEC),
+        CUSTOMER_SPEC,
+        run_at(1),
+    ).first()
+    assert (row.customer_city, row.customer_state) == ("SÃO PAULO", "SP")
+    assert row.customer_zip_code_prefix == "14409"
+    assert row.customer_region == "Sudeste"
+    assert row._record_hash == hashlib.md5("14409||SÃO PAULO||SP".encode()).hexdigest()
+
+
+def test_every_code_has_its_region(raw_rows, run_at):
+    codes = {code: name for name, group in REGIONS.items() for code in group} | {"ZZ": "Unknown"}
+    assert len(codes) == 28
+    rows = raw_rows(*((c, "u", "1", "x", c.lower()) for c in codes))
+    found = prepare(rows, CUSTOMER_SPEC).select("customer_state", "customer_region").collect()
+    assert {r.customer_state: r.customer_region for r in found} == codes
+
+
+BROKEN = {
+    (None, "u", "1", "x", "SP"): "DQ-01",
+    ("a", None, "1", "x", "SP"): "DQ-02",
+    ("b", "u", "1", "x", None): "DQ-03",
+    ("c", "u", "1", "x", "XYZ"): "DQ-03",
+    ("d", "u", None, "x", "SP"): "DQ-04",
+    ("e", "u", "12a", "x", "SP"): "DQ-04",
+    ("f", "u", "12\n", "x", "SP"): "DQ-04",
+    ("g", "u", "", "x", "SP"): "DQ-04",
+    (None, None, None, None, None): "DQ-01,DQ-02,DQ-03,DQ-04",
+}
+
+
+def test_rows_with_null_are_quarantined_not_lost(raw_rows, run_at):
+    good = ("z", "u", "1", None, "SP")
+    prepared = prepare(raw_rows(good, *BROKEN), CUSTOMER_SPEC)
+    valid = valid_rows(prepared, CUSTOMER_SPEC, run_at(2))
+    rejected = quarantined_rows(prepared, CUSTOMER_SPEC, run_at(2))
+    assert [r.customer_id for r in valid.collect()] == ["z"]
+    assert {tuple(r)[:5]: r._dq_error_reason for r in rejected.collect()} == BROKEN
+
+
+def test_quarantine_keeps_raw_values(raw_rows, run_at):
+    raw = ("a", "u", " x1 ", " town ", " sp")
+    prepared = prepare(raw_rows(raw), CUSTOMER_SPEC)
+    rejected = quarantined_rows(prepared, CUSTOMER_SPEC, run_at(2))
+    row = rejected.first()
+    assert tuple(row)[:5] == raw
+    assert row._quarantine_run_id == "run-2"
+    assert rejected.columns == QUARANTINE_SCHEMA.fieldNames()
+    fixed = quarantined_rows(prepared, CUSTOMER_SPEC, run_at(2), reason="bad row")
+    assert fixed.first()._dq_error_reason == "bad row"
+
+
+def test_rules_are_never_null(raw_rows):
+    df = raw_rows(*BROKEN).select(
+        all_pass(CUSTOMER_RULES).alias("ok"), failed_rules(CUSTOMER_RULES).alias("why")
+    )
+    assert df.filter("ok is null or why is null or ok = (why != '')").count() == 0
+
+
+def test_hash_forms(spark):
+    pairs = [("a", None, "b"), (None, "a", "b"), ("a||b", None, None), ("a", "b", None)]
+    df = spark.createDataFrame(pairs, "x string, y string, z string")
+    columns = ("x", "y", "z")
+    assert df.select(record_hash(columns)).distinct().count() == 1
+    assert df.select(record_hash(columns, null_safe=True)).distinct().count() == 4
+
+
+def test_older_valid_row_beats_newer_invalid_one(raw_rows, run_at):
+    rows = raw_rows(("1", "u", "10", "x", "SP", 1), ("1", "u", "bad", "x", "SP", 2))
+    latest, rejected = cleanse(rows, CUSTOMER_SPEC, run_at(3))
+    assert [r.customer_zip_code_prefix for r in latest.collect()] == ["10"]
+    assert rejected.count() == 1
+    assert latest.columns == SILVER_SCHEMA.fieldNames()
+
+
+def test_metrics_add_up(raw_rows):
+    rows = raw_rows(
+        *BROKEN, ("1", "u", "1", "x", "SP", 1), ("1", "u", "2", "x", "SP", 2), ("2", "u", "2", "x", "SP")
+    )
+    m = run_metrics(prepare(rows, CUSTOMER_SPEC), CUSTOMER_SPEC).first()
+    assert tuple(m) == (12, 2, 9, 1)
+
+
+def test_split_covers_every_row(spark, sf_dir, run_at):
+    from keelson.suite import feed
+
+    prepared = prepare(feed.bronze(spark, sf_dir), CUSTOMER_SPEC)
+    valid = valid_rows(prepared, CUSTOMER_SPEC, run_at(1)).count()
+    rejected = quarantined_rows(prepared, CUSTOMER_SPEC, run_at(1)).count()
+    assert valid + rejected == prepared.count()
+    reasons = prepared.select(F.max(failed_rules(CUSTOMER_RULES))).first()[0]
+    assert reasons

@@ -1,0 +1,28 @@
+"""Every registered query against its SQL."""
+
+import pytest
+from check import compare, connect
+
+import __spark_entry__ as entry
+
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(name, spark, sf_dir, con):
+    assert compare(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == ""
+
+
+def test_entry(spark):
+    df = entry.entry(spark)
+    assert df.columns[:2] == ["SurrogateKey", "BusinessKey_CustomerID"]
+    assert df.count() > 0
