@@ -1,6 +1,6 @@
 """A customer feed derived from the ``customer`` and ``orders`` tables.
 
-``customer`` is the master delivery, one row per customer. Every order is a later delivery of
+``customer`` is the master delivery, one row per customer, a file per segment. Every order is a later delivery of
 the customer's record as given with that order, in yearly files and two batches; an urgent open
 order is a guest, a customer the master does not know. So keys repeat, change, stay, and appear,
 over all rows of both tables. The expressions are SQL that Spark and DuckDB both read.
@@ -83,7 +83,7 @@ MASTER_COLUMNS = {
         f"'{MASTER_BATCH}'",
         "timestamp '1994-12-31 00:00:00'",
         "date '1994-12-31'",
-        "'customers.csv'",
+        "concat('customers_', lower(c_mktsegment), '.csv')",
     ),
 }
 

@@ -223,10 +223,10 @@ def all_oracles() -> dict[str, str]:
         ),
         "replace_by_file": _sql(
             "bronze",
-            f"""select * from bronze where _source_file_name <> 'orders_1999b.csv' union all
+            f"""select * from bronze where _batch_id <> '{feed.LAST_ORDERS_BATCH}' union all
                 select customer_id, customer_unique_id, customer_zip_code_prefix,
                        coalesce(customer_city, 'unknown'), customer_state, 'run-4', {_list(AUDIT[1:])}
-                from bronze where _source_file_name = 'orders_1999b.csv'""",
+                from bronze where _batch_id = '{feed.LAST_ORDERS_BATCH}'""",
         ),
         "schema_evolve_union": """
             select c_custkey as customer_number, c_name as customer_name, c_mktsegment as segment,

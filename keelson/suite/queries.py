@@ -34,7 +34,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SPEC = CUSTOMER_SPEC
 CONTENT_SPEC = replace(CUSTOMER_SPEC, update_columns=CONTENT_COLUMNS)
 DELETED_FILE = "orders_1997a.csv"
-REDELIVERED_FILE = "orders_1999b.csv"
 
 _queries: dict[str, Query] = {}
 
@@ -170,9 +169,10 @@ def delete_by_file(spark, sf_dir):
 
 @query
 def replace_by_file(spark, sf_dir):
+    """All files of the last batch are delivered again with a correction."""
     stored = feed.bronze(spark, sf_dir)
     again = feed.order_deliveries(spark, sf_dir).filter(
-        F.col("_source_file_name") == REDELIVERED_FILE
+        F.col("_batch_id") == feed.LAST_ORDERS_BATCH
     )
     corrected = again.withColumns(
         {
@@ -429,7 +429,13 @@ def _drops(root: str, *names: str) -> list[str]:
 
 
 BATCH_DROPS = (
-    ("customers.csv",),
+    (
+        "customers_automobile.csv",
+        "customers_building.csv",
+        "customers_furniture.csv",
+        "customers_household.csv",
+        "customers_machinery.csv",
+    ),
     ("orders_1995a.csv", "orders_1996a.csv", "orders_1997a.csv", "orders_1998a.csv"),
     ("orders_1998b.csv", "orders_1999b.csv", "orders_2000b.csv", "orders_2001b.csv"),
 )
