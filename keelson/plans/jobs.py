@@ -92,7 +92,9 @@ class Tables:
         return cls(
             FileKeyedTable(spark, f"{root}/bronze", BRONZE_SCHEMA, replace_key),
             keyed("silver", SILVER_SCHEMA, "customer_id", by_state),
-            FileKeyedTable(spark, f"{root}/quarantine", QUARANTINE_SCHEMA, replace_key),
+            FileKeyedTable(
+                spark, f"{root}/quarantine", QUARANTINE_SCHEMA, replace_key, gather=True
+            ),
             keyed("gold", GOLD_SCHEMA, scd2.BUSINESS_KEY, by_region),
         )
 

@@ -60,7 +60,11 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
 class FileKeyedTable:
     """Partitioned by a hash of the replace key (the source file's name unless told otherwise),
     so writing a file again replaces its rows. A hash, because any file name is then a valid
-    folder name and none is mistaken for a number or a date."""
+    folder name and none is mistaken for a number or a date.
+
+    ``gather`` is for a thin slice of a large input, such as its bad rows: they are shuffled
+    into files of a useful size first, and Spark splits a source that has too many of them.
+    """
 
     PARTITION = "_file_key"
 
@@ -70,8 +74,10 @@ class FileKeyedTable:
         path: str,
         schema: T.StructType,
         replace_key: str = "_source_file_name",
+        gather: bool = False,
     ):
-        self.spark, self.path, self.schema, self.replace_key = spark, path, schema, replace_key
+        self.spark, self.path, self.schema = spark, path, schema
+        self.replace_key, self.gather = replace_key, gather
 
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
@@ -84,7 +90,8 @@ class FileKeyedTable:
 
     def _keyed(self, rows: DataFrame) -> DataFrame:
         key = F.concat(F.lit("f"), F.md5(self.replace_key))
-        return conform(rows, self.schema).withColumn(self.PARTITION, key)
+        keyed = conform(rows, self.schema).withColumn(self.PARTITION, key)
+        return keyed.hint("rebalance", self.PARTITION) if self.gather else keyed
 
     def replace(self, rows: DataFrame, names: Sequence[str]) -> None:
         """Replace the rows of the sources ``names`` by ``rows``. A source without rows (a file
