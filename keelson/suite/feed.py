@@ -29,7 +29,8 @@ RUNS = (
 
 
 def customer_key(number: str, guest: str = "false") -> str:
-    return f"concat(case when {guest} then 'G' else 'C' end, lpad(cast({number} as string), 12, '0'))"
+    """Ids are 32 hex digits, as such feeds have them."""
+    return f"md5(concat(case when {guest} then 'guest ' else 'customer ' end, cast({number} as string)))"
 
 
 ORDER_IS_GUEST = "o_orderpriority = '1-URGENT' and o_orderstatus = 'O'"
@@ -43,7 +44,7 @@ def _business(row: str, customer: str, key: str, moved: str) -> dict[str, str]:
         "customer_id": f"case when {row} % 97 = 96 then null else {key} end",
         "customer_unique_id": (
             f"case when {row} % 89 = 88 then null"
-            f" else concat('Customer#', lpad(cast({customer} as string), 12, '0')) end"
+            f" else md5(concat('person ', cast({customer} as string))) end"
         ),
         "customer_zip_code_prefix": (
             f"case when {row} % 83 = 82 then null"
