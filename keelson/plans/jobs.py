@@ -98,6 +98,13 @@ class Tables:
             keyed("gold", GOLD_SCHEMA, scd2.BUSINESS_KEY, by_region),
         )
 
+    def create_views(self) -> None:
+        """Make the tables' present contents readable by name in SQL."""
+        self.bronze.read().createOrReplaceTempView("bronze_customers")
+        self.silver.read().createOrReplaceTempView("silver_customers")
+        self.quarantine.read().createOrReplaceTempView("quarantine_customers")
+        self.gold.read().createOrReplaceTempView("gold_dim_customer")
+
 
 def ingest(
     spark: SparkSession,

@@ -13,7 +13,8 @@ def spark():
     session = build_session(
         "tests",
         "local[*]",
-        spark__sql__shuffle__partitions=8,
+        spark__sql__shuffle__partitions=4,
+        spark__default__parallelism=4,
         spark__driver__memory="4g",
         spark__ui__showConsoleProgress="false",
     )

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from keelson.operators.profile import validation_report
 from keelson.plans.jobs import Tables, build_dimension, clean, ingest, run_all
 from keelson.sources.contract import ContractError
 
@@ -104,3 +105,32 @@ def test_dimension_traces_to_its_source(spark, tmp_path, drops, run_at):
     traced = current.join(silver, F.expr("g.BusinessKey_CustomerID = s.customer_id"))
     assert traced.filter("g._record_hash != s._record_hash").count() == 0
     assert {r._source_file_name for r in traced.collect()} == {"1.csv", "2.csv"}
+
+
+def test_tables_by_name(spark, tmp_path, drops, run_at):
+    tables = Tables.under(spark, str(tmp_path / "lake"))
+    run_all(spark, [drops[1]], tables, run_at(1))
+    run_all(spark, [drops[2]], tables, run_at(2))
+    tables.create_views()
+
+    def one(sql):
+        return tuple(spark.sql(sql).first())
+
+    assert one("select count(*), count(distinct _batch_id) from bronze_customers") == (9, 2)
+    assert one("select count_if(customer_id is null) from bronze_customers") == (1,)
+    assert one("select count(*) from silver_customers") == (4,)
+    assert one("select max(_dq_error_reason) from quarantine_customers") == ("DQ-04",)
+    assert one("select count(*), count_if(IsCurrent) from gold_dim_customer") == (5, 4)
+
+
+def test_validation_reports_of_a_stored_table(spark, tmp_path, drops, run_at):
+    tables = Tables.under(spark, str(tmp_path / "lake"))
+    ingest(spark, [drops[1]], tables, run_at(1))
+    report = {name: df.collect() for name, df in validation_report(tables.bronze.read()).items()}
+    assert report["load_profile"][0].total_rows == 5
+    assert report["null_profile"][0].null_customer_id == 1
+    assert [(r.customer_id, r.cnt) for r in report["duplicate_keys"]] == [("1", 2)]
+    assert [(r.customer_state, r.pct) for r in report["top_values"]] == [("SP", 80.0), ("rj", 20.0)]
+    assert [r.rows_in_batch for r in report["lineage"]] == [5]
+    assert [r.customer_zip_code_prefix for r in report["bad_formats"]] == ["bad"]
+    assert len(report["newest_rows"]) == 5

@@ -89,3 +89,38 @@ def test_dimension_update_is_one_join(spark, tmp_path, run_at):
     plan = plan_of(changed)
     assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange") == 2
     assert "_created_at" not in plan
+
+
+def test_hot_fact_key_is_split(spark, run_at):
+    """A customer with a third of the facts: the join splits its partition and loses nothing."""
+    from pyspark.sql import functions as F
+
+    from keelson.operators import scd2
+
+    keys = spark.range(600).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("SurrogateKey"),
+        F.col("id").cast("string").alias(scd2.BUSINESS_KEY),
+        *(F.lit("x").alias(c) for c in ("customer_unique_id", "customer_zip_code_prefix",
+          "customer_city", "customer_state", "customer_region", "_record_hash")),
+    )
+    hot = F.when(F.col("id") % 3 == 0, F.lit("7")).otherwise((F.col("id") % 600).cast("string"))
+    facts = spark.range(60000).select("id", hot.alias("customer"), F.md5(hot).alias("note"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = scd2.join_facts(facts, scd2.first_versions(keys, run_at(1)), "customer")
+        result = joined.select("id", "note", "SurrogateKey")
+        rows = result.collect()
+        plan = plan_of(result)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == len({r.id for r in rows}) == 60000
+    assert "skew=true" in plan
