@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -132,7 +133,7 @@ class SnapshotTable:
 
     def _numbers(self, pattern: str) -> list[int]:
         found = list_paths(self.spark, f"{self.path}/{pattern}")
-        return sorted(int(p.split("snapshot=")[1].split("/")[0]) for p in found)
+        return sorted(int(re.search(r"/snapshot=(\d+)(/_SUCCESS)?$", p)[1]) for p in found)
 
     def exists(self) -> bool:
         return bool(self._numbers("snapshot=*/_SUCCESS"))

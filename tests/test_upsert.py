@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
 from keelson.operators.evolve import conform, merged_schema, union_evolving
@@ -105,3 +107,21 @@ def test_replace_by(spark):
     once = replace_by(stored, incoming, "f")
     assert sorted(r.v for r in once.collect()) == [3, 4, 8, 9]
     assert sorted(r.v for r in replace_by(once, incoming, "f").collect()) == [3, 4, 8, 9]
+
+
+contents = st.dictionaries(st.sampled_from("abcdef"), st.sampled_from("xyz"))
+
+
+@settings(
+    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(old=contents, new=contents)
+def test_against_a_dictionary(spark, old, new):
+    def frame(side, values):
+        return spark.createDataFrame([(k, h, side, side) for k, h in values.items()], SCHEMA)
+
+    expected = {k: (h, "old") for k, h in old.items()}
+    expected |= {k: (h, "new") for k, h in new.items() if old.get(k) != h}
+    result = upsert(frame("old", old), frame("new", new), "k", "h").collect()
+    assert len(result) == len(expected)
+    assert {r.k: (r.h, r.a) for r in result} == expected
