@@ -6,12 +6,12 @@ every top-k keeps k rows per task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.spec import CUSTOMER_COLUMNS
+from keelson.spec import NULL_COUNTS
 
 
 def count_by(df: DataFrame, columns: Sequence[str], count_name: str) -> DataFrame:
@@ -27,8 +27,9 @@ def load_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def null_profile(df: DataFrame, columns: Sequence[str] = CUSTOMER_COLUMNS) -> DataFrame:
-    return df.agg(*(F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns))
+def null_profile(df: DataFrame, counts: Mapping[str, str] = NULL_COUNTS) -> DataFrame:
+    """NULLs per column; ``counts`` maps the name of each count to its column."""
+    return df.agg(*(F.count_if(F.col(c).isNull()).alias(name) for name, c in counts.items()))
 
 
 def duplicate_keys(df: DataFrame, key: str = "customer_id", top: int = 20) -> DataFrame:

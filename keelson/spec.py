@@ -80,6 +80,15 @@ CUSTOMER_COLUMNS = (
     "customer_state",
 )
 
+# Columns of the null report.
+NULL_COUNTS = {
+    "null_customer_id": "customer_id",
+    "null_unique_id": "customer_unique_id",
+    "null_zip": "customer_zip_code_prefix",
+    "null_city": "customer_city",
+    "null_state": "customer_state",
+}
+
 REGIONS = {
     "Norte": ("AC", "AP", "AM", "PA", "RO", "RR", "TO"),
     "Nordeste": ("AL", "BA", "CE", "MA", "PB", "PE", "PI", "RN", "SE"),

@@ -295,11 +295,11 @@ def all_oracles() -> dict[str, str]:
         ),
         "dq_null_profile": _sql(
             "bronze",
-            "select "
-            + ", ".join(
-                f"count(*) filter ({c} is null) as null_{c}" for c in CUSTOMER_COLUMNS
-            )
-            + " from bronze",
+            """select count(*) filter (customer_id is null) as null_customer_id,
+                count(*) filter (customer_unique_id is null) as null_unique_id,
+                count(*) filter (customer_zip_code_prefix is null) as null_zip,
+                count(*) filter (customer_city is null) as null_city,
+                count(*) filter (customer_state is null) as null_state from bronze""",
         ),
         "dq_duplicate_keys": _sql(
             "bronze",
