@@ -110,24 +110,22 @@ def lists(values: np.ndarray, offsets: np.ndarray, kind=None) -> pa.Array:
 def components(edges: DataFrame) -> DataFrame:
     """``(id, root)`` for every id of ``edges (a, b)``; ``root`` is the smallest id connected to it.
 
-    Each round every node joins the neighbour (or itself) of smallest hashed priority, and the
-    edges are contracted; priorities change by round, so chains shrink by a constant share and the
-    number of rounds grows with the logarithm of the longest one. All state is in tables.
+    Each round every node joins the first of its neighbours and itself, and the edges are
+    contracted. Even rounds order by id, which gathers stars around their smallest node at once;
+    odd rounds order by a hash that changes, so chains shrink by a constant share and the number of
+    rounds grows with the logarithm of the longest one. All state is in tables.
     """
     edges = stored(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     moves = []
     while not edges.isEmpty():
-        salt = F.lit(len(moves))
+        salt = len(moves)
+
+        def ordered(column: str):
+            return F.struct((F.xxhash64(column, F.lit(salt)) if salt % 2 else F.lit(0)).alias("p"), F.col(column).alias("id"))
+
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        best = (
-            both.groupBy("a")
-            .agg(F.min(F.struct(F.xxhash64("b", salt).alias("p"), F.col("b").alias("id"))).alias("n"))
-            .select(
-                F.col("a").alias("id"),
-                F.least("n", F.struct(F.xxhash64("a", salt).alias("p"), F.col("a").alias("id"))).getField("id").alias("to"),
-            )
-        )
-        best = stored(best, "moves")
+        best = both.groupBy("a").agg(F.min(ordered("b")).alias("n"))
+        best = stored(best.select(F.col("a").alias("id"), F.least("n", ordered("a")).getField("id").alias("to")), "moves")
         moves.append(best)
         edges = stored(
             edges.join(best.select(F.col("id").alias("a"), F.col("to").alias("x")), "a")
@@ -147,27 +145,26 @@ def components(edges: DataFrame) -> DataFrame:
     return stored(found.join(roots, "to").select("id", "root"), "components")
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], growth: int = 8) -> DataFrame:
     """``(id, root)`` over all ids that ``verify`` links to another one within a bucket.
 
     ``members (bucket, id)`` has distinct rows; ``verify`` takes distinct pairs ``(a, b)`` and keeps
     the linked ones. First every member is compared with one pivot of its bucket. A bucket whose
     members are then all in one component is done: further links in it cannot change the result.
-    In the others, members of different components are compared, with pivots doubling by round
-    until every such pair has been: no link between components is lost, and no group is squared.
+    In the others, members of different components are compared, with ``growth`` times as many
+    pivots in each round until every such pair has been: no link between components is lost, and
+    no group is squared. Only links found anew are contracted after a round.
     """
     pivots = members.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     pairs = members.join(pivots, "bucket").where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    edges = stored(verify(pairs).select("a", "b"), "links")
-    done = 1
+    found = components(verify(pairs).select("a", "b"))
+    state = members.select("id").distinct().join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+    state, done = stored(state, "roots"), 1
     while True:
-        found = components(edges)
-        placed = members.join(found, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
+        placed = members.join(state, "id")
         mixed = (
-            placed.groupBy("bucket")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-            .where(f"low <> high and n > {done + 1}")
-            .select("bucket")
+            placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+            .where(f"low <> high and n > {done + 1}").select("bucket")
         )
         ranked = stored(
             placed.join(mixed, "bucket").selectExpr(
@@ -175,11 +172,15 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
             ),
             "ranked",
         )
-        if ranked.isEmpty():
-            return found
-        last, done = done, done * 2
-        left = ranked.where(f"place > {last} and place <= {done}").selectExpr("bucket", "id as a", "root as ra", "place as pa")
-        pairs = (
-            ranked.join(left, "bucket").where("place > pa and root <> ra").selectExpr("a", "id as b").distinct()
-        )
-        edges = stored(edges.union(verify(pairs).select("a", "b")), "links")
+        fresh = None
+        while fresh is None or fresh.isEmpty():
+            if ranked.where(f"place > {done + 1}").isEmpty():
+                groups = state.groupBy("root").count().where("count > 1").select("root")
+                return stored(state.join(groups, "root").select("id", "root"), "linked")
+            last, done = done, done * growth
+            left = ranked.where(f"place > {last} and place <= {done}").selectExpr("bucket", "id as a", "root as ra", "place as pa")
+            pairs = ranked.join(left, "bucket").where("place > pa and root <> ra").selectExpr("a", "id as b").distinct()
+            fresh = stored(verify(pairs).select("a", "b"), "links")
+        ends = fresh.join(state.selectExpr("id as a", "root as x"), "a").join(state.selectExpr("id as b", "root as y"), "b")
+        moves = components(ends.selectExpr("x as a", "y as b")).selectExpr("id as root", "root as next")
+        state = stored(state.join(moves, "root", "left").select("id", F.coalesce("next", "root").alias("root")), "roots")
