@@ -6,9 +6,9 @@ remembered (bounded, per Python worker); documents that share it reuse ids and d
 
 Cuts fall anywhere, also inside a word, so the ids beside a cut may differ from those of the whole
 text. Each join is therefore re-encoded: the stretch from the last sure boundary before the cut to
-the first one after it, over as many chunks as it takes. A sure boundary is a space that follows
-and precedes a character that is not white space: the byte-level pattern always starts a piece
-there, so both sides agree exactly with the encoding of the whole text. Texts with white space
+the first one after it, over as many chunks as it takes. The byte-level pattern starts a piece at each
+sure boundary whatever surrounds it (where white space begins, behind it, and between an ASCII
+letter and a mark), so both sides agree exactly with the encoding of the whole text.Texts with white space
 beyond ASCII, where that is not certain, are encoded whole.
 
 Defined cases: NULL text is the empty text, with no ids; special strings inside a text become their
@@ -22,6 +22,7 @@ import functools
 import hashlib
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,14 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 _GEAR = random_words(17, 256)
 _MASK = np.uint64(0x1FF << 40)
-_SURE = re.compile(rb"(?<=[^ \t\n\r\x0b\x0c]) (?=[^ \t\n\r\x0b\x0c])")
+#: Pieces between sure boundaries: words with the space before them, marks behind ASCII letters,
+#: runs of white space without their last character, and that character unless it is a space.
+_PIECE = re.compile(
+    rb" ?[A-Za-z]+(?=[ \n.,!?;:])| ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?=[ \t\n\r\x0b\x0c][^ \t\n\r\x0b\x0c])"
+    rb"|[ \t\n\r\x0b\x0c](?=[^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+"
+)
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_PIECES = 300_000
+_PIECES = 350_000
 _CHUNKS = 30_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -66,21 +72,26 @@ class Coder:
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
         self.pieces: dict[bytes, tuple[bytes, bytes]] = {}
-        self.chunks: dict[bytes, tuple[list[bytes], bytes, bytes]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes]] = {}
+        self.chunks: dict[bytes, list] = {}
 
     def whole(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
         """Ids (little-endian, 32 bits) and decoded bytes of each piece, straight from the library."""
         coded = self.tokenizer.encode_batch_fast([x.decode() for x in pieces], add_special_tokens=False)
         ids = [x.ids for x in coded]
         back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
-        return [(np.array(i, "<u4").tobytes(), b.encode()) for i, b in zip(ids, back)]
+        return [(array("I", i).tobytes(), b.encode()) for i, b in zip(ids, back)]
 
     def learn(self, pieces: list[bytes]) -> None:
-        new = list({x for x in pieces if x not in self.pieces})
+        """Have every piece in memory; what was not used for a while is forgotten."""
+        new = set(pieces).difference(self.pieces)
         if len(self.pieces) + len(new) > _PIECES:
-            self.pieces.clear()
-            new = list(set(pieces))
-        self.pieces.update(zip(new, self.whole(new)))
+            self.older, self.pieces = self.pieces, {}
+            new = set(pieces)
+        again = new.intersection(self.older)
+        self.pieces.update((x, self.older[x]) for x in again)
+        new = list(new - again)
+        self.pieces.update(zip(new, self.whole(new) if new else []))
 
     def joined(self, pieces: list[bytes]) -> tuple[bytes, bytes]:
         found = [self.pieces[x] for x in pieces]
@@ -135,11 +146,10 @@ class Coder:
         Head and tail touch the cuts and take part in the joins; without a sure boundary the whole
         chunk is head.
         """
-        marks = [m.start() for m in _SURE.finditer(chunk)]
-        if not marks:
+        pieces = _PIECE.findall(chunk)
+        if len(pieces) < 2:
             return [[], (b"", b""), chunk, None]
-        inner = [chunk[a:b] for a, b in zip(marks, marks[1:])]
-        return [inner, None, chunk[: marks[0]], chunk[marks[-1] :]]
+        return [pieces[1:-1], None, pieces[0], pieces[-1]]
 
 
 @functools.cache
