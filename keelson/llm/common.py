@@ -145,29 +145,44 @@ def components(edges: DataFrame) -> DataFrame:
     return stored(found.join(roots, "to").select("id", "root"), "components")
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], growth: int = 8) -> DataFrame:
+def prefix_members(elements: DataFrame, ids: DataFrame, similarity: float) -> DataFrame:
+    """``(bucket, id)`` such that any two of ``ids`` with that Jaccard similarity share a bucket.
+
+    Prefix filter: with the elements of each set ordered from rare to common, two sets of the given
+    similarity share one of their first n - ceil(similarity n) + 1 elements. Elements that only one
+    set has take places but make no bucket, so sets with many of their own drop out.
+    """
+    rows = elements.join(ids, "id").select("id", F.size("elements").alias("n"), F.explode("elements").alias("bucket"))
+    shared = rows.groupBy("bucket").count().where("count > 1")
+    return rows.join(shared, "bucket").selectExpr(
+        "bucket", "id", "n", "row_number() over (partition by id order by count, bucket) as place",
+        "n - count(*) over (partition by id) as own",
+    ).where(f"place + own <= n - ceil({similarity} * n - 1e-9D) + 1").select("bucket", "id")
+
+
+def linked(
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None, growth: int = 4
+) -> DataFrame:
     """``(id, root)`` over all ids that ``verify`` links to another one within a bucket.
 
     ``members (bucket, id)`` has distinct rows; ``verify`` takes distinct pairs ``(a, b)`` and keeps
     the linked ones. First every member is compared with one pivot of its bucket. A bucket whose
     members are then all in one component is done: further links in it cannot change the result.
-    In the others, members of different components are compared, with ``growth`` times as many
-    pivots in each round until every such pair has been: no link between components is lost, and
-    no group is squared. Only links found anew are contracted after a round.
+    The ids of the others get the buckets of ``refine`` (which must lose no link) or keep theirs,
+    and members of different components are compared, with ``growth`` times as many pivots in each
+    round until every such pair has been: no link between components is lost, and no group is
+    squared. Only links found anew are contracted after a round.
     """
     pivots = members.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     pairs = members.join(pivots, "bucket").where("a <> id").select("a", F.col("id").alias("b")).distinct()
     found = components(verify(pairs).select("a", "b"))
     state = members.select("id").distinct().join(found, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
     state, done = stored(state, "roots"), 1
+    if refine is not None:
+        members, done = stored(refine(_mixed(members, state, 1).select("id").distinct()), "refined"), 0
     while True:
-        placed = members.join(state, "id")
-        mixed = (
-            placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
-            .where(f"low <> high and n > {done + 1}").select("bucket")
-        )
         ranked = stored(
-            placed.join(mixed, "bucket").selectExpr(
+            _mixed(members, state, done).selectExpr(
                 "bucket", "id", "root", "row_number() over (partition by bucket order by id) as place"
             ),
             "ranked",
@@ -177,10 +192,20 @@ def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], growth:
             if ranked.where(f"place > {done + 1}").isEmpty():
                 groups = state.groupBy("root").count().where("count > 1").select("root")
                 return stored(state.join(groups, "root").select("id", "root"), "linked")
-            last, done = done, done * growth
+            last, done = done, max(1, done * growth)
             left = ranked.where(f"place > {last} and place <= {done}").selectExpr("bucket", "id as a", "root as ra", "place as pa")
             pairs = ranked.join(left, "bucket").where("place > pa and root <> ra").selectExpr("a", "id as b").distinct()
             fresh = stored(verify(pairs).select("a", "b"), "links")
         ends = fresh.join(state.selectExpr("id as a", "root as x"), "a").join(state.selectExpr("id as b", "root as y"), "b")
         moves = components(ends.selectExpr("x as a", "y as b")).selectExpr("id as root", "root as next")
         state = stored(state.join(moves, "root", "left").select("id", F.coalesce("next", "root").alias("root")), "roots")
+
+
+def _mixed(members: DataFrame, state: DataFrame, done: int) -> DataFrame:
+    """Members with their root, of the buckets with several roots and more than ``done`` members."""
+    placed = members.join(state, "id")
+    mixed = (
+        placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"))
+        .where(f"low <> high and n > {done}").select("bucket")
+    )
+    return placed.join(mixed, "bucket")
