@@ -44,12 +44,13 @@ def duplicate_keys(df: DataFrame, key: str = "customer_id", top: int = 20) -> Da
 
 def top_values(df: DataFrame, column: str = "customer_state", top: int = 10) -> DataFrame:
     """Most frequent values with their share of all rows in percent. The total is a scalar
-    subquery over no columns; a window over all groups would put them into one task."""
-    total = df.agg(F.count("*")).scalar()
+    subquery over the counts, so the rows are read once; a window over all groups would put
+    them into one task."""
+    counts = count_by(df, [column], "total_customers")
+    total = counts.agg(F.sum("total_customers")).scalar()
     share = F.round(F.col("total_customers") * F.lit(100.0).cast("decimal(4,1)") / total, 2)
     return (
-        count_by(df, [column], "total_customers")
-        .select(column, "total_customers", share.cast("double").alias("pct"))
+        counts.select(column, "total_customers", share.cast("double").alias("pct"))
         .orderBy(F.desc("total_customers"), F.asc_nulls_last(column))
         .limit(top)
     )

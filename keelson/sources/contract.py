@@ -39,6 +39,8 @@ def checked_headers(
 ) -> dict[str, tuple[str, ...]]:
     """Header of every drop, or ``ContractError`` for the first bad one. Each takes a job of
     one line, so several run at a time."""
+    if not paths:
+        raise ContractError("no drops given")
     with ThreadPool(min(8, len(paths))) as pool:
         headers = pool.map(lambda path: tuple(read_header(spark, path, contract)), paths)
     for path, header in zip(paths, headers):

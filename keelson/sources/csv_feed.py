@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from datetime import timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,7 +53,7 @@ def stamped(rows: DataFrame, run: Run, name_from: str = "file") -> DataFrame:
         F.lit(run.source_system).alias("_source_system"),
         F.lit(run.load_type).alias("_load_type"),
         F.lit(run.as_of).alias("_created_at"),
-        F.lit(run.as_of).cast("date").alias("_ingestion_date"),
+        F.lit(run.as_of.astimezone(timezone.utc).date()).alias("_ingestion_date"),
         file_path(path).alias("_source_file_path"),
         source_name(path, name_from).alias("_source_file_name"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions import bucket_of
-from keelson.operators.evolve import conform
+from keelson.operators.evolve import conform, merged_schema
 from keelson.operators.layout import clustered
 
 Change = Callable[[DataFrame, DataFrame], DataFrame]
@@ -112,7 +112,9 @@ class FileKeyedTable:
 
     def overwrite(self, rows: DataFrame) -> None:
         """Replace everything."""
-        self._keyed(rows).write.partitionBy(self.PARTITION).mode("overwrite").parquet(self.path)
+        everything = self._keyed(rows).write.partitionBy(self.PARTITION).mode("overwrite")
+        # Whatever the session says, old partitions go too.
+        everything.option("partitionOverwriteMode", "static").parquet(self.path)
 
 
 class SnapshotTable:
@@ -143,10 +145,12 @@ class SnapshotTable:
         if not finished:
             return empty(self.spark, self.schema)
         newest = f"{self.path}/snapshot={finished[-1]}"
-        return self.spark.read.schema(self.schema).parquet(newest)
+        stored = self.spark.read.parquet(newest).schema
+        return self.spark.read.schema(merged_schema(self.schema, stored)).parquet(newest)
 
     def publish(self, rows: DataFrame) -> None:
-        rows = conform(rows, self.schema)
+        """Write the next snapshot; columns the table did not have are added to it."""
+        rows = conform(rows, merged_schema(self.schema, rows.schema))
         if self.cluster_by:
             rows = clustered(rows, self.cluster_by, self.spread_by)
         started = self._numbers("snapshot=*")
