@@ -85,8 +85,8 @@ def llm_oracles() -> dict[str, str]:
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, e -> floor(64 * CAST(e AS DOUBLE))) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0
+  SELECT vec_id, list_transform(embedding, lambda e: floor(64 * CAST(e AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from keelson.llm import mixture, shards
 from keelson.llm.bpe import round_trip
 from keelson.llm.mixture import mix_sources, mixed_documents
-from keelson.llm.queries import llm_queries
+from keelson.llm.queries import llm_oracles, llm_queries
 from keelson.llm.rp_forest import near_duplicates
 from keelson.llm.shards import assign_shards
 from keelson.llm.suffix_dedup import dedup_bytes, without_repeats
@@ -309,6 +309,16 @@ def test_top_k(vectors, block):
     assert {tuple(r) for r in found.collect()} == brute_top([(r[0], r[1]) for r in vectors.collect()])
 
 
+def test_top_k_against_sql(spark, sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{sf_dir}/embeddings.parquet'")
+    rows = llm_queries()["op9_top_k"](spark, sf_dir)
+    wanted = con.sql(llm_oracles()["op9_top_k"])
+    assert sorted(map(tuple, rows.select(wanted.columns).collect())) == sorted(wanted.fetchall())
+
+
 # --- 10: embedding near-dedup -----------------------------------------------------------------
 
 
