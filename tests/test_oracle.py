@@ -4,8 +4,10 @@ import pytest
 from check import compare, connect
 
 import __spark_entry__ as entry
+from keelson.suite.oracle import all_oracles
+from keelson.suite.queries import all_queries
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,10 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(name, spark, sf_dir, con):
     assert compare(QUERIES[name](spark, sf_dir), con, ORACLES[name]) == ""

@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from keelson.suite.queries import all_queries
 
 # Queries that are one plan; the others write tables on the way.
 WRITING = ("medallion", "ingest", "feed_contract", "gold_build", "scd2_rerun", "version_counts")
-LAZY = [name for name in entry.queries() if not name.startswith(WRITING)]
+LAZY = [name for name in all_queries() if not name.startswith(WRITING)]
 
 
 def plan_of(df) -> str:
@@ -19,7 +19,7 @@ def plans(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        return {name: plan_of(entry.queries()[name](spark, sf_dir)) for name in LAZY}
+        return {name: plan_of(all_queries()[name](spark, sf_dir)) for name in LAZY}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
