@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import linked, lists, mix, prefix_members, ready, slices, stored, text_or_empty
+from keelson.llm.common import linked, lists, may_reach, mix, prefix_members, ready, slices, stored, text_or_empty
 from keelson.llm.shingles import bags, shingles
 
 REGISTERS = 100
@@ -175,7 +175,7 @@ def near_groups(
     def refine(ids: DataFrame) -> DataFrame:
         return prefix_members(elements.withColumnRenamed("bag", "id"), ids, similarity)
 
-    roots = linked(members, verify, refine)
+    roots = linked(members, verify, refine, may_reach(similarity))
     placed = classes.select("bag", F.col("one.doc_id").alias("class_id")).join(
         roots.withColumnRenamed("id", "bag"), "bag", "left"
     ).select("bag", "class_id", F.coalesce("root", "bag").alias("root"))

@@ -146,22 +146,33 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def prefix_members(elements: DataFrame, ids: DataFrame, similarity: float) -> DataFrame:
-    """``(bucket, id)`` such that any two of ``ids`` with that Jaccard similarity share a bucket.
+    """``(bucket, id, n, place, own)`` such that any two of ``ids`` with that similarity share a bucket.
 
     Prefix filter: with the elements of each set ordered from rare to common, two sets of the given
-    similarity share one of their first n - ceil(similarity n) + 1 elements. Elements that only one
-    set has take places but make no bucket, so sets with many of their own drop out.
+    Jaccard similarity share one of their first n - ceil(similarity n) + 1 elements; ``place`` is the
+    element's. The ``own`` elements that no other set has come first and make no bucket, so sets
+    with many of their own drop out.
     """
     rows = elements.join(ids, "id").select("id", F.size("elements").alias("n"), F.explode("elements").alias("bucket"))
     shared = rows.groupBy("bucket").count().where("count > 1")
     return rows.join(shared, "bucket").selectExpr(
-        "bucket", "id", "n", "row_number() over (partition by id order by count, bucket) as place",
+        "bucket", "id", "n", "row_number() over (partition by id order by count, bucket) as nth",
         "n - count(*) over (partition by id) as own",
-    ).where(f"place + own <= n - ceil({similarity} * n - 1e-9D) + 1").select("bucket", "id")
+    ).selectExpr("bucket", "id", "n", "nth + own as place", "own").where(f"place <= n - ceil({similarity} * n - 1e-9D) + 1")
+
+
+def may_reach(similarity: float) -> str:
+    """Whether sets ``a`` and ``b`` that first share the elements at their places can be that similar.
+
+    They share no more than this element and what the shorter rest holds; the first common element
+    of a linked pair passes, so no link is lost.
+    """
+    return f"1 + least(a.n - a.place, b.n - b.place) >= {similarity / (1 + similarity)!r}D * (a.n + b.n) - 1e-6D"
 
 
 def linked(
-    members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None, growth: int = 4
+    members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None,
+    fits: str = "true", growth: int = 4,
 ) -> DataFrame:
     """``(id, root)`` over all ids that ``verify`` links to another one within a bucket.
 
@@ -171,7 +182,9 @@ def linked(
     The ids of the others get the buckets of ``refine`` (which must lose no link) or keep theirs,
     and members of different components are compared, with ``growth`` times as many pivots in each
     round until every such pair has been: no link between components is lost, and no group is
-    squared. Only links found anew are contracted after a round.
+    squared. Refined members are compared first with the one of fewest ``own`` elements, which
+    variants of one original are all near to, and only where ``fits`` holds for ``a`` and ``b`` (it
+    must hold in some bucket of each linked pair). Only links found anew are contracted after a round.
     """
     pivots = members.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     pairs = members.join(pivots, "bucket").where("a <> id").select("a", F.col("id").alias("b")).distinct()
@@ -180,21 +193,28 @@ def linked(
     state, done = stored(state, "roots"), 1
     if refine is not None:
         members, done = stored(refine(_mixed(members, state, 1).select("id").distinct()), "refined"), 0
+    else:
+        members = members.selectExpr("bucket", "id", "0 as n", "0 as place", "0 as own")
     while True:
         ranked = stored(
             _mixed(members, state, done).selectExpr(
-                "bucket", "id", "root", "row_number() over (partition by bucket order by id) as place"
+                "bucket", "struct(id, root, n, place) as a", "row_number() over (partition by bucket order by own, id) as turn"
             ),
             "ranked",
         )
         fresh = None
         while fresh is None or fresh.isEmpty():
-            if ranked.where(f"place > {done + 1}").isEmpty():
+            if ranked.where(f"turn > {done + 1}").isEmpty():
                 groups = state.groupBy("root").count().where("count > 1").select("root")
                 return stored(state.join(groups, "root").select("id", "root"), "linked")
             last, done = done, max(1, done * growth)
-            left = ranked.where(f"place > {last} and place <= {done}").selectExpr("bucket", "id as a", "root as ra", "place as pa")
-            pairs = ranked.join(left, "bucket").where("place > pa and root <> ra").selectExpr("a", "id as b").distinct()
+            if done == 1:
+                pairs = ranked.selectExpr("first(a) over (partition by bucket order by turn) as a", "a as b")
+            else:
+                left = ranked.where(f"turn > {last} and turn <= {done}").selectExpr("bucket", "a", "turn as first")
+                right = ranked.selectExpr("bucket", "a as b", "turn")
+                pairs = right.join(left, (left["bucket"] == right["bucket"]) & F.expr(f"turn > first and a.root <> b.root and {fits}"))
+            pairs = pairs.where(f"a.root <> b.root and {fits}").selectExpr("a.id as a", "b.id as b").distinct()
             fresh = stored(verify(pairs).select("a", "b"), "links")
         ends = fresh.join(state.selectExpr("id as a", "root as x"), "a").join(state.selectExpr("id as b", "root as y"), "b")
         moves = components(ends.selectExpr("x as a", "y as b")).selectExpr("id as root", "root as next")

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import linked, lists, mix, prefix_members, random_words, ready, slices, stored, text_or_empty
+from keelson.llm.common import linked, lists, may_reach, mix, prefix_members, random_words, ready, slices, stored, text_or_empty
 from keelson.llm.shingles import bags, hashed_words, shingles
 
 LEAST_WORDS = 25
@@ -146,7 +146,7 @@ def repeated_paragraphs(
     def refine(ids: DataFrame) -> DataFrame:
         return prefix_members(elements.withColumnRenamed("para", "id"), ids, similarity)
 
-    roots = linked(members, verify, refine)
+    roots = linked(members, verify, refine, may_reach(similarity))
     placed = classes.select("para", "one", "n").join(roots.withColumnRenamed("id", "para"), "para", "left").where("n > 1 or root is not null")
     placed = placed.withColumn("root", F.coalesce("root", "para"))
     first = placed.groupBy("root").agg(F.min("one").alias("first"))
