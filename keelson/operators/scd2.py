@@ -140,8 +140,11 @@ def apply_changes(
 
 
 def join_facts(facts: DataFrame, dimension: DataFrame, fact_key: str) -> DataFrame:
-    """Facts with the attributes current for their key. Versions share the surrogate key, so
+    """All facts with the attributes current for their key; ``in_dimension`` is false, and the
+    attributes NULL, where the dimension has no such key. Versions share the surrogate key, so
     only current rows may be joined. A hot key sits on the fact side only, where adaptive
     execution splits its partition."""
     attributes = current_rows(dimension).drop(*VERSIONING, "_record_hash")
-    return facts.join(attributes, F.col(fact_key) == F.col(BUSINESS_KEY), "inner")
+    return facts.join(attributes, F.col(fact_key) == F.col(BUSINESS_KEY), "left").withColumn(
+        "in_dimension", F.col(BUSINESS_KEY).isNotNull()
+    )

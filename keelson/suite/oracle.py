@@ -233,41 +233,44 @@ def all_oracles() -> dict[str, str]:
                    cast(null as varchar) as priority from customer
             union all select o_custkey, null, null, o_orderpriority from orders""",
         "clustered_rewrite": _sql("source3", "select * from source3"),
-        "upsert_initial": _sql("silver1", "select * from silver1"),
-        "upsert_changed": _sql("silver2", "select * from silver2", update=CONTENT_COLUMNS),
-        "upsert_all_columns": _sql("silver2", "select * from silver2"),
+        "upsert_initial": _sql("source3", f"select {_list(SILVER)} from source3"),
+        "upsert_changed": _sql("silver3", "select * from silver3", update=CONTENT_COLUMNS),
+        "upsert_all_columns": _sql("silver3", "select * from silver3"),
         "upsert_new_keys": _sql(
-            "source2",
-            "select * from source2 where customer_id not in (select customer_id from source1)",
+            "source3",
+            "select * from source3 where customer_id not in (select customer_id from source2)",
         ),
-        "upsert_rerun": _sql("silver2", "select * from silver2"),
+        "upsert_rerun": _sql("silver3", "select * from silver3"),
         "silver_build": _sql("silver3", "select * from silver3"),
-        "scd2_initial": _sql("gold1", "select * from gold1"),
+        "scd2_initial": _sql(
+            "source3", f"select *, {_opened('1', 1)} from ({_dim('source3')})"
+        ),
         "next_version": _sql(
-            "dim2",
-            """select d.*, cast(case when k.BusinessKey_CustomerID is null then 1 else 2 end as integer)
-                      as NewVersion
-               from dim2 d left join dim1 k using (BusinessKey_CustomerID)""",
+            "dim3",
+            """select d.*, cast(coalesce(g.Version + 1, 1) as integer) as NewVersion
+               from dim3 d left join gold2 g
+               on g.IsCurrent and g.BusinessKey_CustomerID = d.BusinessKey_CustomerID""",
         ),
         "detect_changes": _sql(
-            "dim2",
-            """select d.* from dim2 d join dim1 k using (BusinessKey_CustomerID)
-               where d._record_hash <> k._record_hash""",
+            "dim3",
+            """select d.* from dim3 d join gold2 g
+               on g.IsCurrent and g.BusinessKey_CustomerID = d.BusinessKey_CustomerID
+               where d._record_hash <> g._record_hash""",
         ),
-        "scd2_apply": _sql("gold2", "select * from gold2"),
-        "scd2_rerun": _sql("gold2", "select * from gold2"),
+        "scd2_apply": _sql("gold3", "select * from gold3"),
+        "scd2_rerun": _sql("gold3", "select * from gold3"),
         "gold_build": _sql("gold3", "select * from gold3"),
-        "scd2_current": _sql("gold2", "select * from gold2 where IsCurrent"),
+        "scd2_current": _sql("gold3", "select * from gold3 where IsCurrent"),
         "scd2_history": _sql(
-            "gold2",
+            "gold3",
             """select BusinessKey_CustomerID, customer_city, customer_state, Version, IsCurrent,
-                      EffectiveStartDate, EffectiveEndDate from gold2 where not IsCurrent""",
+                      EffectiveStartDate, EffectiveEndDate from gold3 where not IsCurrent""",
         ),
         "scd2_counts": _sql(
-            "gold2",
+            "gold3",
             f"""select {count} as total_records,
                 {count} filter (IsCurrent) as active_records,
-                {count} filter (not IsCurrent) as history_records from gold2""".replace(
+                {count} filter (not IsCurrent) as history_records from gold3""".replace(
                 "cast(count(*) as bigint) filter", "count(*) filter"
             ),
         ),
@@ -275,17 +278,19 @@ def all_oracles() -> dict[str, str]:
             "gold3", f"select Version, IsCurrent, {count} as count from gold3 group by all"
         ),
         "fact_dim_join": _sql(
-            "gold2",
-            f"""select o.*, {_list(ATTRIBUTES[:-1], 'g.')} from {_ORDERS} o
-                join gold2 g on o.order_customer = g.BusinessKey_CustomerID and g.IsCurrent""",
+            "gold3",
+            f"""select o.*, {_list(ATTRIBUTES[:-1], 'g.')},
+                       g.BusinessKey_CustomerID is not null as in_dimension from {_ORDERS} o
+                left join gold3 g on o.order_customer = g.BusinessKey_CustomerID and g.IsCurrent""",
         ),
         "fact_dim_totals": _sql(
-            "gold2",
-            f"""select customer_region, {count} as orders,
+            "gold3",
+            f"""select customer_region, g.BusinessKey_CustomerID is not null as in_dimension,
+                       {count} as orders,
                        cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as total
                 from {_ORDERS} o
-                join gold2 g on o.order_customer = g.BusinessKey_CustomerID and g.IsCurrent
-                group by customer_region""",
+                left join gold3 g on o.order_customer = g.BusinessKey_CustomerID and g.IsCurrent
+                group by all""",
         ),
         "dq_load_profile": _sql(
             "bronze",

@@ -27,7 +27,7 @@ from keelson.session import scratch_dir, use_utc
 from keelson.sources.contract import feed_report
 from keelson.suite import feed
 from keelson.suite.feed import RUNS, table
-from keelson.spec import CONTENT_COLUMNS, CUSTOMER_COLUMNS, CUSTOMER_CONTRACT, CUSTOMER_SPEC
+from keelson.spec import CONTENT_COLUMNS, CUSTOMER_COLUMNS, CUSTOMER_CONTRACT, CUSTOMER_SPEC, Run
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,14 +71,6 @@ def _silvers(spark, sf_dir, n, spec=SPEC) -> list[DataFrame]:
     return states
 
 
-def _golds(silvers: list[DataFrame]) -> list[DataFrame]:
-    """The dimension after the same runs."""
-    states = []
-    for silver, run in zip(silvers, RUNS):
-        states.append(jobs.gold_after(states[-1] if states else None, silver, run))
-    return states
-
-
 def _source(spark, sf_dir, n) -> DataFrame:
     return _sources(spark, sf_dir, n)[-1]
 
@@ -87,8 +79,20 @@ def _silver(spark, sf_dir, n, spec=SPEC) -> DataFrame:
     return _silvers(spark, sf_dir, n, spec)[-1]
 
 
-def _gold(spark, sf_dir, n) -> DataFrame:
-    return _golds(_silvers(spark, sf_dir, n))[-1]
+def _last_run(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The silver table of the last run and the dimension it meets, both as found on disk."""
+    silver = gold = None
+    for source, run in zip(_sources(spark, sf_dir, len(RUNS)), RUNS):
+        silver = _stored(spark, jobs.silver_after(silver, source, SPEC), "silver")
+        if run is not RUNS[-1]:
+            gold = _stored(spark, jobs.gold_after(gold, silver, run), "gold")
+    return silver, gold
+
+
+def _gold(spark, sf_dir) -> DataFrame:
+    """The dimension after all runs."""
+    silver, gold = _last_run(spark, sf_dir)
+    return jobs.gold_after(gold, silver, RUNS[-1])
 
 
 def _stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -206,31 +210,31 @@ def clustered_rewrite(spark, sf_dir):
 
 @query
 def upsert_initial(spark, sf_dir):
-    return _silver(spark, sf_dir, 1)
+    """The first load, with the whole feed delivered at once."""
+    return jobs.silver_after(None, _source(spark, sf_dir, 3), SPEC)
 
 
 @query
 def upsert_changed(spark, sf_dir):
-    return _silver(spark, sf_dir, 2, CONTENT_SPEC)
+    return _silver(spark, sf_dir, 3, CONTENT_SPEC)
 
 
 @query
 def upsert_all_columns(spark, sf_dir):
-    return _silver(spark, sf_dir, 2)
+    return _silver(spark, sf_dir, 3)
 
 
 @query
 def upsert_new_keys(spark, sf_dir):
-    first, second = _sources(spark, sf_dir, 2)
-    return new_keys(first, second, SPEC.key)
+    _, second, third = _sources(spark, sf_dir, 3)
+    return new_keys(second, third, SPEC.key)
 
 
 @query
 def upsert_rerun(spark, sf_dir):
     """The same source applied twice; it is not known to be unique here, so that is checked."""
-    first, second = _sources(spark, sf_dir, 2)
-    once = upsert(first, second, SPEC.key, SPEC.hash_column)
-    return upsert(once, second, SPEC.key, SPEC.hash_column)
+    silver = _silver(spark, sf_dir, 3)
+    return upsert(silver, _source(spark, sf_dir, 3), SPEC.key, SPEC.hash_column)
 
 
 @query
@@ -243,58 +247,58 @@ def silver_build(spark, sf_dir):
 
 @query
 def scd2_initial(spark, sf_dir):
-    return _gold(spark, sf_dir, 1)
+    """The first load, with the whole feed delivered at once."""
+    return jobs.gold_after(None, upsert_initial(spark, sf_dir), RUNS[0])
 
 
 @query
 def next_version(spark, sf_dir):
-    first, second = _silvers(spark, sf_dir, 2)
-    return scd2.next_versions(scd2.dimension_source(second), _golds([first])[0])
+    silver, gold = _last_run(spark, sf_dir)
+    return scd2.next_versions(scd2.dimension_source(silver), gold)
 
 
 @query
 def detect_changes(spark, sf_dir):
-    first, second = _silvers(spark, sf_dir, 2)
-    return scd2.changed_rows(scd2.dimension_source(second), _golds([first])[0])
+    silver, gold = _last_run(spark, sf_dir)
+    return scd2.changed_rows(scd2.dimension_source(silver), gold)
 
 
 @query
 def scd2_apply(spark, sf_dir):
-    return _gold(spark, sf_dir, 2)
+    return _gold(spark, sf_dir)
 
 
 @query
 def scd2_rerun(spark, sf_dir):
     """Applying a run to the dimension that already holds it changes nothing."""
-    silvers = _silvers(spark, sf_dir, 2)
-    return jobs.gold_after(_stored(spark, _golds(silvers)[-1], "gold"), silvers[-1], RUNS[1])
+    silver, gold = _last_run(spark, sf_dir)
+    once = _stored(spark, jobs.gold_after(gold, silver, RUNS[2]), "gold")
+    return jobs.gold_after(once, silver, RUNS[2])
 
 
 @query
 def gold_build(spark, sf_dir):
-    silvers = _silvers(spark, sf_dir, 3)
-    after_two = _stored(spark, _golds(silvers[:2])[-1], "gold")
-    return jobs.gold_after(after_two, silvers[-1], RUNS[2])
+    return _gold(spark, sf_dir)
 
 
 @query
 def scd2_current(spark, sf_dir):
-    return scd2.current_rows(_gold(spark, sf_dir, 2))
+    return scd2.current_rows(_gold(spark, sf_dir))
 
 
 @query
 def scd2_history(spark, sf_dir):
-    return scd2.history_view(_gold(spark, sf_dir, 2))
+    return scd2.history_view(_gold(spark, sf_dir))
 
 
 @query
 def scd2_counts(spark, sf_dir):
-    return metrics.dimension_counts(_gold(spark, sf_dir, 2))
+    return metrics.dimension_counts(_gold(spark, sf_dir))
 
 
 @query
 def version_counts(spark, sf_dir):
-    return profile.version_counts(gold_build(spark, sf_dir))
+    return profile.version_counts(_gold(spark, sf_dir))
 
 
 def _orders_with_key(spark, sf_dir) -> DataFrame:
@@ -309,13 +313,13 @@ def _orders_with_key(spark, sf_dir) -> DataFrame:
 @query
 def fact_dim_join(spark, sf_dir):
     return scd2.join_facts(
-        _orders_with_key(spark, sf_dir), _gold(spark, sf_dir, 2), "order_customer"
+        _orders_with_key(spark, sf_dir), _gold(spark, sf_dir), "order_customer"
     )
 
 
 @query
 def fact_dim_totals(spark, sf_dir):
-    """Order totals per region. Orders are summed per customer before the join, so a customer
+    """Order totals per region, those of customers the dimension lacks apart. Orders are summed per customer before the join, so a customer
     with a third of all orders sends one row per task into the shuffle."""
     totals = (
         _orders_with_key(spark, sf_dir)
@@ -325,8 +329,8 @@ def fact_dim_totals(spark, sf_dir):
             F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total"),
         )
     )
-    joined = scd2.join_facts(totals, _gold(spark, sf_dir, 2), "order_customer")
-    return joined.groupBy("customer_region").agg(
+    joined = scd2.join_facts(totals, _gold(spark, sf_dir), "order_customer")
+    return joined.groupBy("customer_region", "in_dimension").agg(
         F.sum("orders").alias("orders"), F.sum("total").cast("double").alias("total")
     )
 
@@ -428,24 +432,18 @@ def _drops(root: str, *names: str) -> list[str]:
     return [f"{root}/drop={name}" for name in names]
 
 
-BATCH_DROPS = (
-    (
-        "customers_automobile.csv",
-        "customers_building.csv",
-        "customers_furniture.csv",
-        "customers_household.csv",
-        "customers_machinery.csv",
-    ),
-    ("orders_1995a.csv", "orders_1996a.csv", "orders_1997a.csv", "orders_1998a.csv"),
-    ("orders_1998b.csv", "orders_1999b.csv", "orders_2000b.csv", "orders_2001b.csv"),
-)
+def _batches(spark, sf_dir) -> list[tuple[Run, list[str]]]:
+    """Each run with the names of the files delivered for it."""
+    rows = feed.bronze(spark, sf_dir).select("_batch_id", "_source_file_name").distinct().collect()
+    named = [(run, sorted(name for batch, name in rows if batch == run.batch_id)) for run in RUNS]
+    return [(run, names) for run, names in named if names]
 
 
 @query
 def feed_contract(spark, sf_dir):
     """The header report per drop."""
     root = _delivered(spark, sf_dir)
-    paths = _drops(root, *(name for batch in BATCH_DROPS for name in batch))
+    paths = _drops(root, *(name for _, names in _batches(spark, sf_dir) for name in names))
     report = feed_report(spark, paths, CUSTOMER_CONTRACT)
     drop = F.regexp_extract("file_path", "drop=([^/]+)/", 1)
     return report.groupBy(drop.alias("drop"), "missing_columns", "extra_columns", "is_valid").agg(
@@ -458,7 +456,8 @@ def _ingested(spark, sf_dir) -> jobs.Tables:
     """Bronze after three runs over CSV drops, the last of them run twice."""
     root = _delivered(spark, sf_dir)
     tables = jobs.Tables.under(spark, scratch_dir(spark, "lake"))
-    for run, names in [*zip(RUNS, BATCH_DROPS), (RUNS[2], BATCH_DROPS[2])]:
+    batches = _batches(spark, sf_dir)
+    for run, names in [*batches, *batches[-1:]]:
         jobs.ingest(spark, _drops(root, *names), tables, run, name_from="folder")
     return tables
 
@@ -473,7 +472,8 @@ def _pipeline(spark, sf_dir, **layout) -> jobs.Tables:
     """All jobs for each of the three batches, over stored tables; the last is run twice."""
     root = _delivered(spark, sf_dir)
     tables = jobs.Tables.under(spark, scratch_dir(spark, "lake"), **layout)
-    for run, names in [*zip(RUNS, BATCH_DROPS), (RUNS[2], BATCH_DROPS[2])]:
+    batches = _batches(spark, sf_dir)
+    for run, names in [*batches, *batches[-1:]]:
         jobs.run_all(spark, _drops(root, *names), tables, run, name_from="folder")
     return tables
 

@@ -132,7 +132,8 @@ def test_next_versions_and_changed_rows(spark, run_at):
     assert [r[KEY] for r in scd2.changed_rows(incoming, table).collect()] == ["a"]
 
 
-def test_facts_join_current_rows_only(spark, run_at):
+def test_all_facts_join_current_rows_only(spark, run_at):
     table = apply_all(spark, [{"a": "x"}, {"a": "y"}], run_at)
     facts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "q")], "id int, customer string")
-    assert sorted(r.id for r in scd2.join_facts(facts, table, "customer").collect()) == [1, 2]
+    found = scd2.join_facts(facts, table, "customer").collect()
+    assert sorted((r.id, r.in_dimension) for r in found) == [(1, True), (2, True), (3, False)]
