@@ -29,10 +29,13 @@ def upsert(
     hash_column: str,
     update_columns: Sequence[str] | None = None,
     unique_source: bool = False,
+    order_by: str | None = None,
 ) -> DataFrame:
     """The target after applying the source: unchanged and target-only rows stay as they are,
     changed rows take ``update_columns`` (default: all but the key) from the source, new keys
-    are inserted whole. Columns only one side has are added as NULL first.
+    are inserted whole. Columns only one side has are added as NULL first. With ``order_by`` a
+    source row older than the target's (NULL is oldest) changes nothing, so an old batch can be
+    applied again; a target whose ``update_columns`` leave that column out knows its first time only.
 
     One full outer join on the key. Both sides hold a key at most once, so no key can be hot;
     pass ``unique_source=True`` when that is already known, e.g. after ``latest_per_key``.
@@ -52,6 +55,9 @@ def upsert(
     changed = F.col("s._in_source").isNotNull() & ~F.col(f"t.{hash_column}").eqNullSafe(
         F.col(f"s.{hash_column}")
     )
+    if order_by is not None:
+        held, given = F.col(f"t.{order_by}"), F.col(f"s.{order_by}")
+        changed &= held.isNull() | F.coalesce(given >= held, F.lit(False))
     updatable = set(update_columns)
     return both.select(
         *(

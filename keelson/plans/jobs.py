@@ -50,7 +50,8 @@ def silver_after(target: DataFrame | None, source: DataFrame, spec: TableSpec) -
     if target is None:
         return source
     return upsert(
-        target, source, spec.key, spec.hash_column, spec.update_columns, unique_source=True
+        target, source, spec.key, spec.hash_column, spec.update_columns, unique_source=True,
+        order_by=spec.order_by,
     )
 
 

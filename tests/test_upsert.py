@@ -125,3 +125,10 @@ def test_against_a_dictionary(spark, old, new):
     result = upsert(frame("old", old), frame("new", new), "k", "h").collect()
     assert len(result) == len(expected)
     assert {r.k: (r.h, r.a) for r in result} == expected
+
+
+def test_an_old_batch_applied_again_changes_nothing(spark):
+    target = spark.createDataFrame([(1, "new", 2), (2, "x", None)], "k int, h string, at int")
+    old = spark.createDataFrame([(1, "old", 1), (2, "y", 1), (3, "z", None)], "k int, h string, at int")
+    rows = upsert(target, old, "k", "h", order_by="at").collect()
+    assert sorted((r.k, r.h) for r in rows) == [(1, "new"), (2, "y"), (3, "z")]
