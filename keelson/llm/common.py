@@ -110,8 +110,8 @@ def lists(values: np.ndarray, offsets: np.ndarray, kind=None) -> pa.Array:
 def components(edges: DataFrame) -> DataFrame:
     """``(id, root)`` for every id of ``edges (a, b)``; ``root`` is the smallest id connected to it.
 
-    Each round every node joins the first of its neighbours and itself, and the edges are
-    contracted. Even rounds order by id, which gathers stars around their smallest node at once;
+    Each round every node joins the first of its neighbours and itself, or the node that one joins,
+    and the edges are contracted. Even rounds order by id, which gathers stars around their smallest node at once;
     odd rounds order by a hash that changes, so chains shrink by a constant share and the number of
     rounds grows with the logarithm of the longest one. All state is in tables.
     """
@@ -125,7 +125,8 @@ def components(edges: DataFrame) -> DataFrame:
 
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         best = both.groupBy("a").agg(F.min(ordered("b")).alias("n"))
-        best = stored(best.select(F.col("a").alias("id"), F.least("n", ordered("a")).getField("id").alias("to")), "moves")
+        best = best.select(F.col("a").alias("id"), F.least("n", ordered("a")).getField("id").alias("to"))
+        best = stored(best.join(best.select(F.col("id").alias("to"), F.col("to").alias("next")), "to").select("id", F.col("next").alias("to")), "moves")
         moves.append(best)
         edges = stored(
             edges.join(best.select(F.col("id").alias("a"), F.col("to").alias("x")), "a")
