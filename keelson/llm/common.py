@@ -173,7 +173,7 @@ def may_reach(similarity: float) -> str:
 
 def linked(
     members: DataFrame, verify: Callable[[DataFrame], DataFrame], refine: Callable[[DataFrame], DataFrame] | None = None,
-    fits: str = "true", growth: int = 4,
+    fits: str = "true", growth: int = 16,
 ) -> DataFrame:
     """``(id, root)`` over all ids that ``verify`` links to another one within a bucket.
 
