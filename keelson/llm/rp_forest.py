@@ -6,6 +6,10 @@ tree are compared by exact cosine, and links from all trees are united. The uppe
 tree come from a bounded sample (``sample`` rows of smallest hashed id) and deal all vectors to
 cells; each cell is split further by its own medians and compared by one task.
 
+An overlap is never narrower than 0.9 of the distance of a pair at the cosine. A node that such
+overlaps do not split well is dense: nearly all its pairs are close to the cosine, and any cut would
+part links. It is compared whole, and where the upper splits find it, in blocks over several tasks.
+
 Equal vectors form one class, which is indexed once and weighs as many links as it has rows, so a
 group of copies never meets in one leaf.
 
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import components, ready, stored
+from keelson.llm.common import components, mix, ready, stored
 from keelson.llm.topk import matrix
 
 COSINE = 0.9
@@ -32,24 +36,42 @@ SPILL = 0.08
 CELL = 1024
 LEAF = 64
 SAMPLE = 20_000
+OVERLAP = 0.9
+WHOLE = 0.65
+TRIES = 4
 
 
 def directions(seed: int, count: int, width: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((count, width))
 
 
-def upper_tree(sample: np.ndarray, seed: int, depth: int, spill: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per level: one direction per node, and the two borders of its overlap."""
+def cut(x: np.ndarray, seed: int, spill: float, cosine: float) -> tuple[np.ndarray, float, float]:
+    """A direction that splits ``x`` and the borders of its overlap; infinite ones if none splits it well."""
+    least = OVERLAP * math.sqrt(2 - 2 * cosine)
+    for way in directions(seed, TRIES, x.shape[1]):
+        p = x @ way
+        if len(p) == 0:
+            break
+        low, high = np.quantile(p, [0.5 - spill, 0.5 + spill])
+        wider = max(0.0, least - (high - low)) / 2
+        low, high = low - wider, high + wider
+        if max(np.mean(p <= high), np.mean(p >= low)) <= WHOLE:
+            return way, low, high
+    return np.zeros(x.shape[1]), math.inf, math.inf
+
+
+def upper_tree(
+    sample: np.ndarray, seed: int, depth: int, spill: float, cosine: float
+) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per level: one direction per node, and the two borders of its overlap; a dense node goes left whole."""
     levels, nodes = [], [np.arange(len(sample))]
     for level in range(depth):
-        way = directions(seed * 1000 + level, len(nodes), sample.shape[1])
-        low, high, below = np.zeros(len(nodes)), np.zeros(len(nodes)), []
-        for i, rows in enumerate(nodes):
-            p = sample[rows] @ way[i]
-            low[i], high[i] = np.quantile(p, [0.5 - spill, 0.5 + spill]) if len(p) else (0.0, 0.0)
-            below += [rows[p <= high[i]], rows[p >= low[i]]]
+        cuts = [cut(sample[rows], (seed * 1000 + level) * 1_000_003 + i, spill, cosine) for i, rows in enumerate(nodes)]
+        way, low, high = (np.array(part) for part in zip(*cuts))
         levels.append((way, low, high))
-        nodes = below
+        nodes = [
+            rows[side] for rows, (w, a, b) in zip(nodes, cuts) for p in [sample[rows] @ w] for side in (p <= b, p >= a)
+        ]
     return levels
 
 
@@ -63,40 +85,46 @@ def route(x: np.ndarray, levels) -> tuple[np.ndarray, np.ndarray]:
     return rows, node
 
 
-def leaf_pairs(x: np.ndarray, seed: int, leaf: int, spill: float, cosine: float) -> np.ndarray:
-    """Pairs of rows of the unit vectors ``x`` that share a leaf and reach the cosine."""
+def leaf_pairs(
+    x: np.ndarray, seed: int, leaf: int, spill: float, cosine: float, side: np.ndarray | None = None
+) -> np.ndarray:
+    """Pairs of rows of the unit vectors ``x`` that share a leaf and reach the cosine; only across sides if given."""
     found, todo = [], [(np.arange(len(x)), 0)]
     while todo:
         rows, level = todo.pop()
         if len(rows) > leaf and level < 40:
-            p = x[rows] @ directions(seed + 7919 * level + len(todo), 1, x.shape[1])[0]
-            low, high = np.quantile(p, [0.5 - spill, 0.5 + spill])
-            left, right = rows[p <= high], rows[p >= low]
-            if max(len(left), len(right)) < len(rows):
-                todo += [(left, level + 1), (right, level + 1)]
+            way, low, high = cut(x[rows], seed + 7919 * level + len(todo), spill, cosine)
+            if low < math.inf:
+                p = x[rows] @ way
+                todo += [(rows[p <= high], level + 1), (rows[p >= low], level + 1)]
                 continue
         for at in range(0, len(rows), 512):  # a leaf that no direction splits is compared in blocks
             near = x[rows[at : at + 512]] @ x[rows].T >= cosine - 1e-9
+            if side is not None:
+                near &= side[rows[at : at + 512], None] != side[rows]
             a, b = np.nonzero(near)
             keep = rows[a + at] < rows[b]
-            found.append(np.stack([rows[a + at][keep], rows[b][keep]], axis=1))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            found.append(rows[a + at][keep] * len(x) + rows[b][keep])
+    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    return np.stack([pairs // max(1, len(x)), pairs % max(1, len(x))], axis=1)
 
 
 def link_vectors(
     vectors: DataFrame, cosine: float = COSINE, trees: int = TREES, spill: float = SPILL,
     cell: int = CELL, leaf: int = LEAF, sample: int = SAMPLE,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(classes, links)``: ``key, v, members, first_id`` per distinct vector, and linked keys ``a, b``."""
+    """``(classes, links)``: ``id, key, v, members, first_id`` per distinct vector, and linked ids ``a, b``."""
     spark = ready(vectors.sparkSession)
     usable = _usable(vectors)
     classes = stored(
-        usable.groupBy("key", "v").agg(F.count("*").alias("members"), F.min("vec_id").alias("first_id")), "vector-classes"
+        usable.groupBy("key", "v").agg(F.count("*").alias("members"), F.min("vec_id").alias("first_id"))
+        .withColumn("id", F.monotonically_increasing_id()),
+        "vector-classes",
     )
     n = classes.count()
     widths = classes.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first()
     if widths is None:
-        return classes, spark.createDataFrame([], "a binary, b binary")
+        return classes, spark.createDataFrame([], "a long, b long")
     width = widths["w"]
     depth = max(0, math.ceil(math.log2(max(1.0, n / cell)))) if n > cell else 0
     depth = min(depth, max(0, int(math.log2(sample / 16))))
@@ -105,33 +133,67 @@ def link_vectors(
         chosen = classes.where(F.size("v") == width).orderBy(F.xxhash64("key"), "key").limit(sample)
         rows = np.array([r[0] for r in chosen.select("v").collect()])
         rows /= np.linalg.norm(rows, axis=1, keepdims=True)
-        forest = [upper_tree(rows, t + 1, depth, spill) for t in range(trees)]
+        forest = [upper_tree(rows, t + 1, depth, spill, cosine) for t in range(trees)]
     forest = spark.sparkContext.broadcast(forest)  # trees x 2^depth <= trees x sample / 16 nodes
 
-    def deal(batches):
+    def routed(batches):
         for batch in batches:
             x = matrix(batch.column("v"), width)
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             for t, levels in enumerate(forest.value):
-                row, node = route(x, levels)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(row), t, np.int32)), pa.array(node), batch.column("key").take(pa.array(row)), batch.column("v").take(pa.array(row))],
-                    names=["tree", "cell", "key", "v"],
+                yield batch, t, *route(x, levels)
+
+    def sizes(batches):
+        for _, t, _, node in routed(batches):
+            cells, counts = np.unique(node, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(cells), t, np.int32)), pa.array(cells), pa.array(counts)], names=["tree", "cell", "n"]
+            )
+
+    block = 4 * cell
+    usual = classes.where(F.size("v") == width).select("id", "v")
+    dense = {}
+    if depth:
+        large = usual.mapInArrow(sizes, "tree int, cell long, n long").groupBy("tree", "cell").agg(F.sum("n").alias("n"))
+        for t, c, rows in large.where(f"n > {block}").collect():  # cells of the upper splits, of which there are few
+            if forest.value[t][-1][1][c // 2] == math.inf:
+                dense[t, c] = -(-rows // block)
+
+    def deal(batches):
+        for batch, t, row, node in routed(batches):
+            ids = np.asarray(batch.column("id"))
+
+            def part(row, node, own, low, high):
+                return pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(row), t, np.int32)), pa.array(node), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
+                        pa.array(own.astype(np.int32)), batch.column("id").take(pa.array(row)), batch.column("v").take(pa.array(row)),
+                    ],
+                    names=["tree", "cell", "low", "high", "own", "id", "v"],
                 )
 
+            count = np.ones(len(node), np.int64)
+            for c in np.unique(node):
+                count[node == c] = dense.get((t, int(c)), 1)
+            own = (mix(ids[row].astype(np.uint64)) % count.astype(np.uint64)).astype(np.int64)
+            for other in range(int(count.max(initial=0))):  # a block meets every block of its cell
+                at = np.flatnonzero(count > other)
+                yield part(row[at], node[at], own[at], np.minimum(own[at], other), np.maximum(own[at], other))
+
     def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+        table = table.combine_chunks().sort_by("id")
         x = matrix(table.column("v"), width)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        seed = 1_000_003 * (int(table.column("tree")[0].as_py()) + 1) + int(table.column("cell")[0].as_py())
-        pairs = leaf_pairs(x, seed, leaf, spill, cosine)
-        keys = table.column("key")
-        return pa.table({"a": keys.take(pa.array(pairs[:, 0])), "b": keys.take(pa.array(pairs[:, 1]))})
+        first = {c: int(table.column(c)[0].as_py()) for c in ("tree", "cell", "low", "high")}
+        seed = 1_000_003 * (first["tree"] + 1) + first["cell"]
+        side = np.asarray(table.column("own")) if first["low"] < first["high"] else None
+        pairs = leaf_pairs(x, seed, leaf, spill, cosine, side)
+        ids = table.column("id")
+        return pa.table({"a": ids.take(pa.array(pairs[:, 0])), "b": ids.take(pa.array(pairs[:, 1]))})
 
-    dealt = classes.where(F.size("v") == width).select("key", "v").mapInArrow(deal, "tree int, cell long, key binary, v array<double>")
-    found = dealt.groupBy("tree", "cell").applyInArrow(compare, "a binary, b binary")
-    links = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return classes, stored(links, "vector-links")
+    dealt = usual.mapInArrow(deal, "tree int, cell long, low int, high int, own int, id long, v array<double>")
+    found = dealt.groupBy("tree", "cell", "low", "high").applyInArrow(compare, "a long, b long")
+    return classes, stored(found.distinct(), "vector-links")
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -150,17 +212,17 @@ def near_duplicates(vectors: DataFrame, **options) -> DataFrame:
     classes, links = link_vectors(vectors, **options)
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = (
-        both.join(classes.select(F.col("key").alias("b"), "members"), "b")
-        .groupBy(F.col("a").alias("key")).agg(F.sum("members").alias("n"))
+        both.join(classes.select(F.col("id").alias("b"), "members"), "b")
+        .groupBy(F.col("a").alias("id")).agg(F.sum("members").alias("n"))
     )
     found = components(links)
     roots = (
-        found.join(classes.select(F.col("key").alias("id"), "first_id"), "id")
+        found.join(classes.select("id", "first_id"), "id")
         .groupBy("root").agg(F.min("first_id").alias("component"))
-        .join(found, "root").select(F.col("id").alias("key"), "component")
+        .join(found, "root").select("id", "component")
     )
     state = (
-        classes.join(others, "key", "left").join(roots, "key", "left")
+        classes.join(others, "id", "left").join(roots, "id", "left")
         .select(
             "key", (F.coalesce("n", F.lit(0)) + F.col("members") - 1).alias("n_links"),
             F.coalesce("component", "first_id").alias("component_id"),

@@ -355,6 +355,25 @@ def test_embedding_links_on_whole_table(spark, sf_dir):
     assert sorted(tuple(r) for r in found.collect()) == brute_links([(r[0], r[1]) for r in rows.collect()])
 
 
+def near_group(n, seed=5, noise=0.041, width=64):
+    """Vectors around one centre, nearly all pairs of which reach a cosine of 0.9."""
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal(width)
+    return centre / np.linalg.norm(centre) + noise * rng.standard_normal((n, width))
+
+
+@pytest.mark.parametrize("cell", [1024, 64])
+def test_embedding_links_of_a_dense_group(spark, cell):
+    """A group of near vectors keeps its links with the parameters of production; small cells make it blocks."""
+    x = np.concatenate([near_group(600), np.random.default_rng(6).standard_normal((900, 64))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    wanted = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r["n_links"] for r in near_duplicates(rows, cell=cell).collect()}
+    got = np.array([found[i] for i in range(len(x))])
+    assert (got <= wanted).all() and got.sum() >= 0.99 * wanted.sum() > 0
+
+
 # --- All --------------------------------------------------------------------------------------
 
 
