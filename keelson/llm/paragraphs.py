@@ -9,8 +9,9 @@ document and place, stays, the others are removals.
 Paragraphs with equal shingle sets form a class that is banded and compared once, so a line that
 stands in a third of all documents is one class.
 
-Defined cases: NULL text has no paragraphs; shorter lines are never removed; equal ids are separate
-documents whose rows cannot be told apart in the result; other columns are not looked at.
+Defined cases: NULL text has no paragraphs; shorter lines are never removed; rows that share an id,
+NULL ids too, are separate documents, of which exactly one keeps the passage; a document with an id
+comes before one without; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -70,10 +71,10 @@ def _signed(batches, least_words: int, bands: int, rows: int):
             digest = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(bounds[:-1], bounds[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id").take(pa.array(row)), pa.array(place.astype(np.int32)), pa.array(digest, pa.binary()),
+                    part.column("doc_id").take(pa.array(row)), part.column("row_key").take(pa.array(row)), pa.array(place.astype(np.int32)), pa.array(digest, pa.binary()),
                     lists(keys.view(np.int64).reshape(-1), np.arange(n + 1) * bands),
                 ],
-                names=["doc_id", "place", "para", "bands"],
+                names=["doc_id", "row_key", "place", "para", "bands"],
             )
 
 
@@ -107,15 +108,15 @@ def repeated_paragraphs(
     ``removed`` is false for the first paragraph of it only.
     """
     ready(documents.sparkSession)
-    texts = documents.select("doc_id", text_or_empty().alias("text"))
+    texts = documents.select("doc_id", text_or_empty().alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
     signed = stored(
         texts.mapInArrow(
-            lambda batches: _signed(batches, least_words, bands, rows), "doc_id long, place int, para binary, bands array<long>"
-        ),
+            lambda batches: _signed(batches, least_words, bands, rows), "doc_id long, row_key long, place int, para binary, bands array<long>"
+        ).withColumn("copy", F.monotonically_increasing_id()),
         "paragraph-signatures",
     )
     classes = stored(
-        signed.groupBy("para").agg(F.min(F.struct("doc_id", "place")).alias("one"), F.count("*").alias("n"), F.first("bands").alias("bands")),
+        signed.groupBy("para").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "place", "row_key", "copy")).alias("one"), F.count("*").alias("n"), F.first("bands").alias("bands")),
         "paragraph-classes",
     )
     members = classes.select(F.explode("bands").alias("bucket"), F.col("para").alias("id"))
@@ -123,11 +124,11 @@ def repeated_paragraphs(
     members = stored(members.join(shared, "bucket"), "paragraph-members")
     asked = (
         classes.join(members.select(F.col("id").alias("para")).distinct(), "para", "left_semi")
-        .groupBy(F.col("one.doc_id").alias("i"))
+        .groupBy(F.col("one.doc_id").alias("i"), F.col("one.row_key").alias("k"))
         .agg(F.collect_list("one.place").alias("places"), F.collect_list("para").alias("paras"))
     )
     elements = stored(
-        texts.join(asked, texts["doc_id"].eqNullSafe(asked["i"]))
+        texts.join(asked, (texts["row_key"] == asked["k"]) & texts["doc_id"].eqNullSafe(asked["i"]))
         .select("text", "places", "paras")
         .mapInArrow(lambda batches: _elements(batches, least_words), "para binary, elements array<long>")
         .dropDuplicates(["para"]),
@@ -151,7 +152,7 @@ def repeated_paragraphs(
     placed = placed.withColumn("root", F.coalesce("root", "para"))
     first = placed.groupBy("root").agg(F.min("one").alias("first"))
     placed = placed.join(first, "root").select("para", F.hex("root").alias("passage"), "first")
-    return signed.select("doc_id", "place", "para").join(placed, "para").select(
+    return signed.select("doc_id", "place", "para", "copy").join(placed, "para").select(
         "doc_id", F.col("place").alias("paragraph"), "passage", F.col("first.doc_id").alias("first_doc_id"),
-        (~F.struct("doc_id", "place").eqNullSafe(F.struct("first.doc_id", "first.place"))).alias("removed"),
+        (F.col("copy") != F.col("first.copy")).alias("removed"),
     )

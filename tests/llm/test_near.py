@@ -130,6 +130,21 @@ def test_repeated_paragraphs(spark):
     assert found == [(1, 1, 1, False), (2, 2, 1, True), (3, 0, 1, True), (4, 0, 4, False), (4, 1, 4, True)]
 
 
+def test_paragraphs_of_rows_with_shared_ids(spark):
+    """Rows of one id, or of none, have their own lines at the same places."""
+    for doc_id in (None, 7):
+        bases = [prose(200 + i, 60) for i in range(12)]
+        rows = [(doc_id, " ".join(b)) for b in bases] + [(100 + i, " ".join(changed(b, {30}))) for i, b in enumerate(bases)]
+        rows += [(doc_id, " ".join(bases[0]))]
+        found = repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        passages = {}
+        for r in found:
+            passages.setdefault(r["passage"], []).append(r)
+        assert len(found) == 25 and sorted(map(len, passages.values())) == [2] * 11 + [3]
+        assert all(sum(not r["removed"] for r in p) == 1 for p in passages.values())
+        assert {r["first_doc_id"] for r in found} == ({7} if doc_id else {100 + i for i in range(12)})
+
+
 def test_paragraphs_on_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines = [((r["doc_id"], n), x) for r in docs.collect() for n, x in enumerate(r["text"].split("\n")) if len(x.split()) >= 25]
