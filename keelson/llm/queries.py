@@ -15,6 +15,7 @@ from keelson.llm.mixture import mix_sources
 from keelson.llm.paragraphs import repeated_paragraphs
 from keelson.llm.rp_forest import near_duplicates
 from keelson.llm.shards import assign_shards
+from keelson.llm.shingles import WIDTH
 from keelson.llm.suffix_dedup import dedup_bytes
 from keelson.llm.token_count import count_tokens
 from keelson.llm.topk import top_k
@@ -26,7 +27,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark, sf_dir):
-    return repeated_paragraphs(_table(spark, sf_dir, "documents"))
+    return repeated_paragraphs(_table(spark, sf_dir, "documents"), least_words=WIDTH)
 
 
 def op2_token_counts(spark, sf_dir):

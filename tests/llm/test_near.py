@@ -11,6 +11,7 @@ from keelson.llm import kneser_ney
 from keelson.llm.bag_minhash import keep_one, near_groups, signatures
 from keelson.llm.common import components, linked
 from keelson.llm.paragraphs import repeated_paragraphs
+from keelson.llm.queries import op1_substring_dedup
 from keelson.llm.shingles import bags, shingles
 
 
@@ -145,6 +146,14 @@ def test_paragraphs_of_rows_with_shared_ids(spark):
         assert {r["first_doc_id"] for r in found} == ({7} if doc_id else {100 + i for i in range(12)})
 
 
+def test_query_takes_short_lines(spark, tmp_path):
+    line = " ".join(prose(3, 5))
+    rows = [(1, line + "\n" + " ".join(prose(4, 4))), (2, " ".join(prose(5, 30)) + "\n" + line), (3, " ".join(prose(4, 4)))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = op1_substring_dedup(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in found.select("doc_id", "paragraph", "first_doc_id", "removed").collect()) == [(1, 0, 1, False), (2, 1, 1, True)]
+
+
 def test_paragraphs_on_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines = [((r["doc_id"], n), x) for r in docs.collect() for n, x in enumerate(r["text"].split("\n")) if len(x.split()) >= 25]
