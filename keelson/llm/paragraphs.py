@@ -9,6 +9,11 @@ document and place, stays, the others are removals.
 Paragraphs with equal shingle sets form a class that is banded and compared once, so a line that
 stands in a third of all documents is one class.
 
+``repeated_segments`` finds what whole lines cannot: runs of words inside longer lines or across line
+ends. Of every 26 windows of 25 words in a row the one with the least hash is a segment, so two
+texts that share 50 words in a row share a segment in them, wherever the run stands. Segments with
+equal words are a passage; they may overlap, and the ends of a run may stand outside of them.
+
 Defined cases: NULL text has no paragraphs; shorter lines are never removed; rows that share an id,
 NULL ids too, are separate documents, of which exactly one keeps the passage; a document with an id
 comes before one without; other columns are not looked at.
@@ -31,6 +36,8 @@ LEAST_WORDS = 25
 SIMILARITY = 0.8
 BANDS = 10
 ROWS = 4
+SEGMENT = 25
+RUN = 50
 
 
 def min_hashes(owner: np.ndarray, hashes: np.ndarray, n: int, count: int) -> np.ndarray:
@@ -156,3 +163,62 @@ def repeated_paragraphs(
         "doc_id", F.col("place").alias("paragraph"), "passage", F.col("first.doc_id").alias("first_doc_id"),
         (F.col("copy") != F.col("first.copy")).alias("removed"),
     )
+
+
+def _segments(batches, width: int, run: int):
+    """The windows of ``width`` words whose hash is least among those of some ``run`` words."""
+    reach = run - width + 1
+    for batch in batches:
+        for part in slices(batch, "text"):
+            split = pc.split_pattern(part.column("text").cast(pa.large_string()), "\n")
+            lines = np.asarray(split.offsets)
+            words, line = hashed_words(split.flatten())
+            if len(words) < run:
+                continue
+            row = np.searchsorted(lines - lines[0], line, side="right") - 1
+            n = len(words) - width + 1
+            both = []
+            for seed in (37, 41):
+                terms = random_words(seed, width) | np.uint64(1)
+                total = np.zeros(n, np.uint64)
+                for k in range(width):
+                    total += mix(words[k : n + k] ^ np.uint64(seed)) * terms[k]
+                both.append(mix(total))
+            starts = np.flatnonzero(row[: len(words) - run + 1] == row[run - 1 :])
+            least = np.lib.stride_tricks.sliding_window_view(both[0], reach)
+            at = np.unique(np.concatenate([starts[i : i + 65536] + least[starts[i : i + 65536]].argmin(axis=1) for i in range(0, len(starts), 65536)] or [starts]))
+            if not len(at):
+                continue
+            own = row[at]
+            head = np.searchsorted(row, own)
+            digest = np.stack([both[0][at], both[1][at]], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id").take(pa.array(own)), pa.array((line[at] - (lines - lines[0])[own]).astype(np.int32)),
+                    pa.array(at - head), pa.array([d.tobytes() for d in digest], pa.binary()),
+                ],
+                names=["doc_id", "place", "first_word", "para"],
+            )
+
+
+def repeated_segments(documents: DataFrame, width: int = SEGMENT, run: int = RUN) -> DataFrame:
+    """``doc_id, paragraph, passage, first_doc_id, removed, first_word, words`` of every repeated segment.
+
+    ``paragraph`` is the line of its first word and ``first_word`` counts the words of the text from 0.
+    """
+    ready(documents.sparkSession)
+    texts = documents.select("doc_id", text_or_empty().alias("text"))
+    found = stored(
+        texts.mapInArrow(lambda batches: _segments(batches, width, run), "doc_id long, place int, first_word long, para binary")
+        .withColumn("copy", F.monotonically_increasing_id()),
+        "segments",
+    )
+    classes = (
+        found.groupBy("para")
+        .agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "first_word", "copy")).alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
+    )
+    return found.join(classes, "para").select(
+        "doc_id", F.col("place").alias("paragraph"), F.hex("para").alias("passage"), F.col("first.doc_id").alias("first_doc_id"),
+        (F.col("copy") != F.col("first.copy")).alias("removed"), "first_word", F.lit(width).alias("words"),
+    )

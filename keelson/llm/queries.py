@@ -12,7 +12,7 @@ from keelson.llm.bpe import round_trip
 from keelson.llm.common import ready
 from keelson.llm.kneser_ney import classify
 from keelson.llm.mixture import mix_sources
-from keelson.llm.paragraphs import repeated_paragraphs
+from keelson.llm.paragraphs import repeated_paragraphs, repeated_segments
 from keelson.llm.rp_forest import near_duplicates
 from keelson.llm.shards import assign_shards
 from keelson.llm.shingles import WIDTH
@@ -27,7 +27,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_substring_dedup(spark, sf_dir):
-    return repeated_paragraphs(_table(spark, sf_dir, "documents"), least_words=WIDTH)
+    """Whole lines, and segments of runs in or across lines; ``first_word`` and ``words`` are NULL for lines."""
+    docs = _table(spark, sf_dir, "documents")
+    return repeated_paragraphs(docs, least_words=WIDTH).unionByName(repeated_segments(docs), allowMissingColumns=True)
 
 
 def op2_token_counts(spark, sf_dir):

@@ -154,6 +154,25 @@ def test_query_takes_short_lines(spark, tmp_path):
     assert sorted(tuple(r) for r in found.select("doc_id", "paragraph", "first_doc_id", "removed").collect()) == [(1, 0, 1, False), (2, 1, 1, True)]
 
 
+def test_query_takes_runs_in_and_across_lines(spark, tmp_path):
+    """Fifty words that two texts share, inside longer lines, across line ends and without any line end."""
+    def around(seed, run, end):
+        return " ".join(prose(seed, 70)) + " " + end.join(run) + " " + " ".join(prose(seed + 1, 70))
+
+    rows = []
+    for n in range(12):
+        run = prose(300 + n, 50)
+        parts = [" ".join(run[:20]), " ".join(run[20:])]
+        rows += [(10 * n, around(1000 + 10 * n, parts, " ")), (10 * n + 1, around(1005 + 10 * n, parts, "\n" if n % 2 else " "))]
+    rows += [(900, " ".join(prose(2000, 200))), (901, None), (None, " ".join(prose(2001, 49)))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = op1_substring_dedup(spark, str(tmp_path)).collect()
+    assert {(r["doc_id"], r["first_doc_id"], r["removed"]) for r in found} == {
+        (10 * n + k, 10 * n, k == 1) for n in range(12) for k in (0, 1)
+    }
+    assert all(70 <= r["first_word"] <= 95 and r["words"] == 25 for r in found)
+
+
 def test_paragraphs_on_whole_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     lines = [((r["doc_id"], n), x) for r in docs.collect() for n, x in enumerate(r["text"].split("\n")) if len(x.split()) >= 25]
