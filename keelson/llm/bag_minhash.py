@@ -131,10 +131,12 @@ def _elements(batches):
 def near_groups(
     documents: DataFrame, similarity: float = SIMILARITY, registers: int = REGISTERS, bands: int = BANDS
 ) -> DataFrame:
-    """``doc_id, row_key, class_id, group_id`` for every row.
+    """``doc_id, row_key, class_id, group_id, first`` for every row.
 
     ``class_id`` and ``group_id`` are the smallest ids of the class (equal multisets) and of the
-    group; both are NULL for texts without words. ``row_key`` is a hash of id and text.
+    group, of the rows that have an id; both are NULL for texts without words and where no row of the
+    class or group has an id. ``first`` tells the rows to keep: texts without words, and of each group
+    the rows of its smallest id, or one row if none has an id. ``row_key`` is a hash of id and text.
     """
     ready(documents.sparkSession)
     texts = documents.select("doc_id", text_or_empty().alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
@@ -142,12 +144,12 @@ def near_groups(
         texts.mapInArrow(
             lambda batches: _signed(batches, registers, bands),
             "doc_id long, row_key long, bag binary, shingles long, bands array<long>",
-        ),
+        ).withColumn("copy", F.monotonically_increasing_id()),
         "minhash-signatures",
     )
     classes = stored(
         signed.where("bag is not null").groupBy("bag")
-        .agg(F.min(F.struct("doc_id", "row_key")).alias("one"), F.first("bands").alias("bands")),
+        .agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "row_key", "copy")).alias("one"), F.first("bands").alias("bands")),
         "minhash-classes",
     )
     members = classes.select(F.explode("bands").alias("bucket"), F.col("bag").alias("id"))
@@ -176,20 +178,39 @@ def near_groups(
         return prefix_members(elements.withColumnRenamed("bag", "id"), ids, similarity)
 
     roots = linked(members, verify, refine, may_reach(similarity))
-    placed = classes.select("bag", F.col("one.doc_id").alias("class_id")).join(
+    placed = classes.select("bag", "one", F.col("one.doc_id").alias("class_id")).join(
         roots.withColumnRenamed("id", "bag"), "bag", "left"
-    ).select("bag", "class_id", F.coalesce("root", "bag").alias("root"))
-    groups = placed.groupBy("root").agg(F.min("class_id").alias("group_id"))
-    placed = stored(placed.join(groups, "root").select("bag", "class_id", "group_id"), "minhash-placed")
-    return signed.select("doc_id", "row_key", "bag").join(placed, "bag", "left").select(
-        "doc_id", "row_key", "class_id", "group_id"
+    ).select("bag", "one", "class_id", F.coalesce("root", "bag").alias("root"))
+    groups = placed.groupBy("root").agg(F.min("one").alias("least"))
+    placed = stored(
+        placed.join(groups, "root")
+        .select("bag", "class_id", F.col("least.doc_id").alias("group_id"), F.col("least.copy").alias("least")),
+        "minhash-placed",
+    )
+    first = F.when(F.col("bag").isNull(), True).when(F.col("group_id").isNull(), F.col("copy") == F.col("least")).otherwise(
+        F.col("doc_id").eqNullSafe(F.col("group_id"))
+    )
+    return signed.select("doc_id", "row_key", "bag", "copy").join(placed, "bag", "left").select(
+        "doc_id", "row_key", "class_id", "group_id", first.alias("first")
     )
 
 
 def keep_one(documents: DataFrame, **options) -> DataFrame:
-    """The documents without all but the first (smallest id) of each group; texts without words stay."""
+    """The documents without all but the first (smallest id) of each group; texts without words stay.
+
+    Of a group without any id one row stays.
+    """
     found = near_groups(documents, **options)
-    gone = found.where("group_id is not null and doc_id > group_id").select("doc_id", "row_key").distinct()
+    gone = found.where("not first").groupBy("doc_id", "row_key").count().select(
+        F.col("doc_id").alias("_id"), F.col("row_key").alias("_row"), F.lit(True).alias("_gone")
+    )
+    spared = found.where("first and doc_id is null and class_id is null and group_id is null").select(F.col("row_key").alias("_spared")).distinct()
     keyed = documents.withColumn("_key", F.xxhash64("doc_id", text_or_empty()))
-    kept = keyed.join(gone, (keyed["_key"] == gone["row_key"]) & keyed["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
-    return kept.drop("_key")
+    on = (F.col("_key") == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    kept = keyed.join(gone, on, "left_anti")
+    # Equal rows without an id cannot be told apart: where one of them stays, any one does.
+    doubtful = (
+        keyed.where("doc_id is null").join(gone.where("_id is null"), F.col("_key") == F.col("_row"), "left_semi")
+        .join(spared, F.col("_key") == F.col("_spared"), "left_semi").dropDuplicates(["_key"])
+    )
+    return kept.union(doubtful).drop("_key")

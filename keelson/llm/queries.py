@@ -44,7 +44,7 @@ def op3_quality_classifier(spark, sf_dir):
 
 def op4_minhash_near_dedup(spark, sf_dir):
     found = near_groups(_table(spark, sf_dir, "documents"))
-    return found.selectExpr("doc_id", "class_id", "group_id", "coalesce(doc_id = group_id, true) as kept")
+    return found.selectExpr("doc_id", "class_id", "group_id", "first as kept")
 
 
 def op5_suffix_array_dedup(spark, sf_dir):

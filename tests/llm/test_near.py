@@ -11,7 +11,7 @@ from keelson.llm import kneser_ney
 from keelson.llm.bag_minhash import keep_one, near_groups, signatures
 from keelson.llm.common import components, linked
 from keelson.llm.paragraphs import repeated_paragraphs
-from keelson.llm.queries import op1_substring_dedup
+from keelson.llm.queries import op1_substring_dedup, op4_minhash_near_dedup
 from keelson.llm.shingles import bags, shingles
 
 
@@ -89,6 +89,24 @@ def test_keep_one_keeps_columns_and_wordless_rows(spark, near):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, g in groups.items() if g in (None, i))
 
 
+def test_groups_of_rows_without_ids(spark, tmp_path):
+    a, b, c = prose(31, 80), prose(32, 80), " ".join(prose(33, 80))
+    rows = [(i, " ".join(a)) for i in (5, 6, None, 7)] + [(None, " ".join(changed(a, {40})))]
+    rows += [(None, " ".join(b)), (None, " ".join(b)), (None, " ".join(changed(b, {40}))), (None, c), (None, ""), (None, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = op4_minhash_near_dedup(spark, str(tmp_path)).collect()
+    assert len(found) == len(rows)
+    assert Counter((r["doc_id"], r["group_id"], r["kept"]) for r in found) == Counter(
+        {(5, 5, True): 1, (6, 5, False): 1, (7, 5, False): 1, (None, 5, False): 2, (None, None, False): 2, (None, None, True): 4, (9, None, True): 1}
+    )
+    kept = [(r["doc_id"], r["text"]) for r in keep_one(docs).collect()]
+    # one of the group of b stays, and c, and all texts without words
+    assert len(kept) == 6 and (5, " ".join(a)) in kept and (None, c) in kept
+    assert Counter(t for i, t in kept if i is None and not t) == Counter(["", None]) and (9, "") in kept
+    assert sum(t in (" ".join(b), " ".join(changed(b, {40}))) for _, t in kept) == 1
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     common, only = prose(1, 400), prose(2, 100)
