@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +85,25 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator
         at = end
 
 
+def word_codes(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """The words of texts in one buffer, runs of bytes that are no ``gap``: dictionary-encoded, with
+    the text each is in and its first byte. Words never cross texts."""
+    starts = ~gap
+    starts[1:] &= gap[:-1]
+    begin = offsets[:-1][offsets[:-1] < len(data)]
+    starts[begin] = ~gap[begin]
+    first = np.flatnonzero(starts)
+    before = np.cumsum(~gap)
+    inside = np.append(before[first] - 1, before[-1] if len(data) else 0).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(inside), pa.py_buffer(data[~gap])])
+    return words.dictionary_encode(), np.searchsorted(offsets, first, side="right") - 1, first
+
+
+def digests(words: pa.Array, seed: int = 0) -> np.ndarray:
+    """64 bits of each of some byte strings."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(x, seed) for x in words.to_pylist()), np.uint64, len(words))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A finaliser that spreads every bit of 64-bit numbers (splitmix64)."""
     x = x.astype(np.uint64, copy=True)

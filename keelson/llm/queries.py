@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keelson.llm.bag_minhash import near_groups
 from keelson.llm.bpe import round_trip
 from keelson.llm.common import ready
+from keelson.llm.crf import predict_languages
+from keelson.llm.gnat import HARD_NEGATIVES, hard_negatives, relabelled
 from keelson.llm.kneser_ney import classify
 from keelson.llm.mixture import mix_sources
 from keelson.llm.paragraphs import repeated_paragraphs, repeated_segments
@@ -17,6 +20,7 @@ from keelson.llm.rp_forest import near_duplicates
 from keelson.llm.shards import assign_shards
 from keelson.llm.shingles import WIDTH
 from keelson.llm.suffix_dedup import dedup_bytes
+from keelson.llm.tiles import COLLOCATIONS, collocations
 from keelson.llm.token_count import count_tokens
 from keelson.llm.topk import top_k
 from keelson.session import scratch_dir
@@ -72,18 +76,36 @@ def op10_embedding_near_dedup(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    vectors = relabelled(_table(spark, sf_dir, "embeddings"))
+    return hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    learned = docs.where("doc_id is not null").where(~held_out)
+    found = predict_languages(docs, learned)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_substring_dedup, op2_token_counts, op3_quality_classifier, op4_minhash_near_dedup, op5_suffix_array_dedup,
-            op6_sharding, op7_mixing, op8_bpe, op9_top_k, op10_embedding_near_dedup,
+            op6_sharding, op7_mixing, op8_bpe, op9_top_k, op10_embedding_near_dedup, op11_hard_negatives,
+            op12_collocations, op13_language_id,
         )
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op9_top_k": TOP_K}
+    return {"op9_top_k": TOP_K, "op11_hard_negatives": HARD_NEGATIVES, "op12_collocations": COLLOCATIONS}
 
 
 TOP_K = """
