@@ -55,8 +55,15 @@ def silver_after(target: DataFrame | None, source: DataFrame, spec: TableSpec) -
     )
 
 
+def extra_columns(silver: DataFrame) -> list[str]:
+    """Columns deliveries brought beside those of the silver schema."""
+    return [c for c in silver.columns if c not in SILVER_SCHEMA.fieldNames()]
+
+
 def gold_after(target: DataFrame | None, silver: DataFrame, run: Run) -> DataFrame:
-    return scd2.apply_changes(target, scd2.dimension_source(silver), run)
+    """Silver holds a key once. Columns it has beside its schema are carried into the dimension."""
+    source = scd2.dimension_source(silver, carry=extra_columns(silver))
+    return scd2.apply_changes(target, source, run, unique_source=True)
 
 
 # --- Over stored tables ----------------------------------------------------------------------
@@ -167,10 +174,13 @@ def build_dimension(tables: Tables, run: Run, updated_since: datetime | None = N
     silver = tables.silver.read()
     if updated_since is not None:
         silver = silver.filter(F.col("_silver_update_ts") >= F.lit(updated_since))
-    source = scd2.dimension_source(silver)
+    source = scd2.dimension_source(silver, carry=extra_columns(silver))
     first = not tables.gold.exists()
     tables.gold.merge(
-        source, lambda target, new: scd2.apply_changes(None if first else target, new, run)
+        source,
+        lambda target, new: scd2.apply_changes(
+            None if first else target, new, run, unique_source=True
+        ),
     )
     return metrics.dimension_counts(tables.gold.read())
 

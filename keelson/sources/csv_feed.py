@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions import file_path
+from keelson.operators.evolve import union_evolving
 from keelson.sources.contract import checked_headers
 from keelson.spec import Contract, Run
 
@@ -19,7 +20,7 @@ from keelson.spec import Contract, Run
 def _scan(
     spark: SparkSession, paths: Sequence[str], header: Sequence[str], contract: Contract
 ) -> DataFrame:
-    """All text, contract columns by name. Spark checks the header of every file against the
+    """All text, contract columns by name and then, if the contract keeps them, the others. Spark checks the header of every file against the
     schema while it reads (``enforceSchema=false``), so a part file with other columns fails
     the read instead of being shifted."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
@@ -29,8 +30,9 @@ def _scan(
         .options(**contract.csv_options(), enforceSchema="false")
         .csv(list(paths))
     )
+    extra = [name for name in raw_name if contract.keep_extra and name and name not in contract.columns]
     return rows.select(
-        *(F.col(f"`{raw_name[name]}`").alias(name) for name in contract.columns),
+        *(F.col(f"`{raw_name[name]}`").alias(name) for name in [*contract.columns, *extra]),
         F.col("_metadata.file_path").alias("_encoded_path"),
     )
 
@@ -67,9 +69,10 @@ def read_drops(
     name_from: str = "file",
 ) -> DataFrame:
     """Rows of all drops with audit columns, after checking every drop. Drops with the same
-    header are read by one scan, so column order may differ between drops."""
+    header are read by one scan, so column order may differ between drops; an extra column that some
+    drops lack is NULL there."""
     by_header = defaultdict(list)
     for path, header in checked_headers(spark, paths, contract).items():
         by_header[header].append(path)
     scans = [_scan(spark, group, header, contract) for header, group in by_header.items()]
-    return stamped(reduce(DataFrame.unionByName, scans), run, name_from)
+    return stamped(reduce(union_evolving, scans) if contract.keep_extra else reduce(DataFrame.unionByName, scans), run, name_from)

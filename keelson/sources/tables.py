@@ -3,11 +3,16 @@
 ``FileKeyedTable``  rows replaced by source file (raw and quarantine tables)
 ``SnapshotTable``   every change publishes a whole new snapshot; readers never see half a change
 ``BucketedTable``   rows kept in key buckets; a change rewrites only the buckets it touches
+``CopartitionedTable``  snapshots in the catalog, bucketed so that a join on the key does not move them
+
+All of them take new columns and wider types of a load: rows written before have NULL there, and
+are read as the wider type.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Sequence
 
@@ -16,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions import bucket_of
-from keelson.operators.evolve import conform, merged_schema
+from keelson.operators.evolve import conform, merged_schema, plain, readable_as
 from keelson.operators.layout import clustered
 
 Change = Callable[[DataFrame, DataFrame], DataFrame]
@@ -58,7 +63,71 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-class FileKeyedTable:
+class SchemaError(ValueError):
+    """A change of columns the stored files cannot follow."""
+
+
+class _Evolving:
+    """The schema of a table whose files are written by many loads, kept beside it.
+
+    ``<path>.schema/<n>`` holds the schema as of its n-th change. It is written before the rows
+    that need it, which leaves the table as it was if the write then fails: a column no file has reads as
+    NULL, and narrower files read as the wider type. A widening the parquet reader cannot do (to text) is
+    refused; ``rewrite`` does it.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+
+    def stored_schema(self) -> T.StructType:
+        """The declared columns and those loads brought since."""
+        found = list_paths(self.spark, f"{self.path}.schema/*")
+        if not found:
+            return self.schema
+        newest = max(found, key=lambda p: int(p.rsplit("/", 1)[1]))
+        text = self.spark.read.text(newest, wholetext=True).first()[0]
+        return merged_schema(self.schema, T.StructType.fromJson(json.loads(text)))
+
+    def _note(self, schema: T.StructType) -> None:
+        jvm = self.spark.sparkContext._jvm
+        number = len(list_paths(self.spark, f"{self.path}.schema/*")) + 1
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.path}.schema/{number:06d}")
+        out = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(target, False)
+        try:
+            out.write(schema.json().encode())
+        finally:
+            out.close()
+
+    def admit(self, rows: T.StructType) -> T.StructType:
+        """The schema after taking in rows of this one, noted if it is new."""
+        before = self.stored_schema()
+        after = merged_schema(before, rows)
+        if plain(after) == plain(before):
+            return before
+        for old, new in zip(before.fields, after.fields):
+            if not readable_as(old.dataType, new.dataType) and self.exists():
+                raise SchemaError(
+                    f"{self.path}: {old.name} is stored as {old.dataType.simpleString()} and would become"
+                    f" {new.dataType.simpleString()}; rewrite() the table with that type first"
+                )
+        self._note(after)
+        return after
+
+    def rewrite(self, schema: T.StructType) -> None:
+        """All rows written anew as the merged schema. They are staged as a whole table first, so a driver
+        that dies leaves either the old table or the staged one complete."""
+        schema = merged_schema(self.stored_schema(), schema)
+        staged = f"{self.path}.staged"
+        kept = self._stored()
+        wide = conform(kept, T.StructType([*schema.fields, kept.schema[self.PARTITION]]))
+        wide.write.partitionBy(self.PARTITION).mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+        again = self.spark.read.schema(wide.schema).parquet(staged)
+        again.write.partitionBy(self.PARTITION).mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.path)
+        self._note(schema)
+
+
+class FileKeyedTable(_Evolving):
     """Partitioned by a hash of the replace key (the source file's name unless told otherwise),
     so writing a file again replaces its rows. A hash, because any file name is then a valid
     folder name and none is mistaken for a number or a date.
@@ -83,15 +152,18 @@ class FileKeyedTable:
     def exists(self) -> bool:
         return path_exists(self.spark, self.path)
 
-    def read(self) -> DataFrame:
+    def _stored(self) -> DataFrame:
+        schema = T.StructType([*self.stored_schema().fields, T.StructField(self.PARTITION, T.StringType())])
         if not self.exists():
-            return empty(self.spark, self.schema)
-        stored = T.StructType([*self.schema.fields, T.StructField(self.PARTITION, T.StringType())])
-        return self.spark.read.schema(stored).parquet(self.path).drop(self.PARTITION)
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().drop(self.PARTITION)
 
     def _keyed(self, rows: DataFrame) -> DataFrame:
         key = F.concat(F.lit("f"), F.md5(self.replace_key))
-        keyed = conform(rows, self.schema).withColumn(self.PARTITION, key)
+        keyed = conform(rows, self.admit(rows.schema)).withColumn(self.PARTITION, key)
         return keyed.hint("rebalance", self.PARTITION) if self.gather else keyed
 
     def replace(self, rows: DataFrame, names: Sequence[str]) -> None:
@@ -108,7 +180,7 @@ class FileKeyedTable:
         for key in sorted(asked - set(had_rows.get["keys"])):
             folder = f"{self.path}/{self.PARTITION}={key}"
             if path_exists(self.spark, folder):
-                empty(self.spark, self.schema).write.mode("overwrite").parquet(folder)
+                empty(self.spark, self.stored_schema()).write.mode("overwrite").parquet(folder)
 
     def overwrite(self, rows: DataFrame) -> None:
         """Replace everything."""
@@ -145,8 +217,8 @@ class SnapshotTable:
         if not finished:
             return empty(self.spark, self.schema)
         newest = f"{self.path}/snapshot={finished[-1]}"
-        stored = self.spark.read.parquet(newest).schema
-        return self.spark.read.schema(merged_schema(self.schema, stored)).parquet(newest)
+        stored = self.spark.read.parquet(newest)
+        return conform(stored, merged_schema(self.schema, stored.schema))
 
     def publish(self, rows: DataFrame) -> None:
         """Write the next snapshot; columns the table did not have are added to it."""
@@ -160,7 +232,7 @@ class SnapshotTable:
         self.publish(change(self.read(), source))
 
 
-class BucketedTable:
+class BucketedTable(_Evolving):
     """Partitioned by key bucket, for a table much larger than one load: a change reads and
     rewrites only the buckets its keys fall into. Within a bucket rows are sorted by
     ``cluster_by``, which costs no shuffle.
@@ -190,7 +262,7 @@ class BucketedTable:
 
     def _stored(self) -> DataFrame:
         bucket = T.StructField(self.PARTITION, T.IntegerType())
-        schema = T.StructType([*self.schema.fields, bucket])
+        schema = T.StructType([*self.stored_schema().fields, bucket])
         if not self.exists():
             return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(self.path)
@@ -210,7 +282,61 @@ class BucketedTable:
         if self.exists():
             touched = self.touched(source if keys is None else keys)
             stored = stored.filter(F.col(self.PARTITION).isin(touched))
-        result = conform(change(stored.drop(self.PARTITION), source), self.schema)
+        result = change(stored.drop(self.PARTITION), source)
+        result = conform(result, self.admit(result.schema))
         result = result.withColumn(self.PARTITION, bucket_of(self.key, self.buckets))
         result = result.sortWithinPartitions(self.PARTITION, *self.cluster_by)
         replace_partitions(result, self.path, self.PARTITION)
+
+
+class CopartitionedTable:
+    """Snapshots ``<name>_<n>`` in the catalog, in ``buckets`` buckets by the hash Spark shuffles on and
+    sorted by key. A join on the key leaves the table where it is: only the load is shuffled, into as many
+    partitions as there are buckets. The table must hold a key once or so; a bucket is one task's work, so
+    give it as many buckets as a shuffle of the table would have.
+
+    ``<name>`` is a view of the newest snapshot. Creating a snapshot and turning the view are separate steps;
+    a run that dies between them leaves the view as it was.
+    """
+
+    def __init__(
+        self, spark: SparkSession, name: str, schema: T.StructType, key: str, buckets: int, location: str
+    ):
+        self.spark, self.name, self.schema = spark, name, schema
+        self.key, self.buckets, self.location = key, buckets, location
+
+    def exists(self) -> bool:
+        return self._newest() is not None
+
+    def _numbers(self) -> list[int]:
+        found = (re.search(r"/snapshot=(\d+)$", p) for p in list_paths(self.spark, f"{self.location}/snapshot=*"))
+        return sorted(int(m[1]) for m in found if m)
+
+    def _newest(self) -> int | None:
+        names = {t.name for t in self.spark.catalog.listTables(pattern=f"{self.name}_*")}
+        whole = [n for n in self._numbers() if f"{self.name}_{n}" in names and path_exists(self.spark, f"{self.location}/snapshot={n}/_SUCCESS")]
+        return whole[-1] if whole else None
+
+    def read(self) -> DataFrame:
+        newest = self._newest()
+        if newest is None:
+            return empty(self.spark, self.schema)
+        return self.spark.table(f"{self.name}_{newest}")
+
+    def publish(self, rows: DataFrame) -> None:
+        number = max(self._numbers(), default=0) + 1
+        rows = conform(rows, merged_schema(self.schema, rows.schema))
+        if self.exists():
+            # The rows come out of a join on the key in as many partitions as there are buckets.
+            dealt = rows
+        else:
+            dealt = rows.repartition(self.buckets, self.key)
+        (
+            dealt.write.format("parquet").bucketBy(self.buckets, self.key).sortBy(self.key)
+            .option("path", f"{self.location}/snapshot={number}").saveAsTable(f"{self.name}_{number}")
+        )
+        self.spark.table(f"{self.name}_{number}").createOrReplaceTempView(self.name)
+
+    def merge(self, source: DataFrame, change: Change, keys: DataFrame | None = None) -> None:
+        """The load is dealt out by the table's buckets, so a full outer join finds both sides in place."""
+        self.publish(change(self.read(), source.repartition(self.buckets, self.key)))

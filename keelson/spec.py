@@ -32,6 +32,8 @@ class Contract:
     """What a CSV drop must look like."""
 
     columns: tuple[str, ...]
+    # Keep columns a drop has beside these, as text.
+    keep_extra: bool = False
     delimiter: str = ","
     quote: str = '"'
     escape: str = '"'

@@ -108,13 +108,18 @@ ORDER_COLUMNS = {
 }
 
 
-def _selected(columns: dict[str, str]) -> list[str]:
+#: A further column that the master delivers as 32 bits and later files as 64.
+MASTER_ACCOUNT = "cast(c_custkey as int)"
+ORDER_ACCOUNT = "cast(o_custkey as bigint) * 1000 + 3000000000"
+
+
+def selected(columns: dict[str, str]) -> list[str]:
     return [f"{expression} as {name}" for name, expression in columns.items()]
 
 
 FEED_SQL = (
-    f"select {', '.join(_selected(MASTER_COLUMNS))} from customer"
-    f" union all select {', '.join(_selected(ORDER_COLUMNS))} from orders"
+    f"select {', '.join(selected(MASTER_COLUMNS))} from customer"
+    f" union all select {', '.join(selected(ORDER_COLUMNS))} from orders"
 )
 
 
@@ -123,11 +128,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").selectExpr(*_selected(MASTER_COLUMNS))
+    return table(spark, sf_dir, "customer").selectExpr(*selected(MASTER_COLUMNS))
 
 
 def order_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").selectExpr(*_selected(ORDER_COLUMNS))
+    return table(spark, sf_dir, "orders").selectExpr(*selected(ORDER_COLUMNS))
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

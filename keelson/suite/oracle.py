@@ -76,35 +76,37 @@ _PREPARED = f"""
           from bronze)"""
 
 
-def _source(n: int) -> str:
+def _source(n: int, batches: str = "<=", extra=()) -> str:
     return f"""
     select {_list(BRONZE)}, customer_region, _record_hash, {_as_of(n)} as _silver_update_ts
-    from prepared where reason = '' and _batch_id <= '{RUNS[n - 1].batch_id}'
+           {"".join(", " + c for c in extra)}
+    from prepared where reason = '' and _batch_id {batches} '{RUNS[n - 1].batch_id}'
     qualify row_number() over (partition by customer_id order by _created_at desc nulls last,
         _source_file_name desc nulls last, customer_unique_id desc nulls last,
         customer_zip_code_prefix desc nulls last, customer_city desc nulls last,
         customer_state desc nulls last) = 1"""
 
 
-def _upserted(target: str, source: str, update=None) -> str:
-    update = set(update or SILVER)
-    kept = [c for c in SILVER if c not in update]
+def _upserted(target: str, source: str, update=None, extra=()) -> str:
+    update = set(update or (*SILVER, *extra))
+    columns = (*SILVER, *extra)
+    kept = [c for c in columns if c not in update]
     return f"""
-    select {_list(SILVER)} from {source} s where not exists
+    select {_list(columns)} from {source} s where not exists
         (select 1 from {target} t where t.customer_id = s.customer_id)
     union all
-    select {_list(SILVER)} from {target} t where not exists
+    select {_list(columns)} from {target} t where not exists
         (select 1 from {source} s where t.customer_id = s.customer_id and t._record_hash <> s._record_hash)
     union all
-    select {', '.join(('t.' if c in kept else 's.') + c for c in SILVER)}
+    select {', '.join(('t.' if c in kept else 's.') + c for c in columns)}
     from {target} t join {source} s on t.customer_id = s.customer_id
     where t._record_hash <> s._record_hash"""
 
 
-def _dim(source: str) -> str:
+def _dim(source: str, extra=()) -> str:
     return f"""
     select sha256(customer_id) as SurrogateKey, customer_id as BusinessKey_CustomerID,
-           {_list(ATTRIBUTES[2:])} from {source}"""
+           {_list((*ATTRIBUTES[2:], *extra))} from {source}"""
 
 
 def _opened(version: str, n: int) -> str:
@@ -127,24 +129,33 @@ _VERSIONING = (
 GOLD = (*ATTRIBUTES, *_VERSIONING)
 
 
-def _applied(target: str, dim: str, n: int) -> str:
-    changed = (
-        f"{target} g join {dim} d on g.IsCurrent"
-        " and g.BusinessKey_CustomerID = d.BusinessKey_CustomerID"
-        " and g._record_hash <> d._record_hash"
-    )
-    return f"""
-    select {_list(GOLD)} from {target} g where not (g.IsCurrent and exists
+def _applied(target: str, dim: str, n: int, extra=(), full=False) -> str:
+    """``full``: keys the load lacks are closed, and closed keys go on from their last version."""
+    attributes = (*ATTRIBUTES, *extra)
+    columns = (*attributes, *_VERSIONING)
+    known = f"{target} g join {dim} d on g.IsCurrent and g.BusinessKey_CustomerID = d.BusinessKey_CustomerID"
+    changed = f"{known} and g._record_hash <> d._record_hash"
+    closed = f"{_list(attributes, 'g.')}, g.Version, false, g.EffectiveStartDate, {_as_of(n)}, g._audit_insert_batch, '{RUNS[n - 1].batch_id}'"
+    last = f"(select max(p.Version) from {target} p where p.BusinessKey_CustomerID = d.BusinessKey_CustomerID)"
+    absent = f"""
+    union all
+    select {closed} from {target} g where g.IsCurrent and not exists
+        (select 1 from {dim} d where g.BusinessKey_CustomerID = d.BusinessKey_CustomerID)"""
+    stays = f"""not (g.IsCurrent and exists
         (select 1 from {dim} d where g.BusinessKey_CustomerID = d.BusinessKey_CustomerID
-                                 and g._record_hash <> d._record_hash))
+                                 and g._record_hash <> d._record_hash))"""
+    if full:
+        stays += f""" and (not g.IsCurrent or exists
+        (select 1 from {dim} d where g.BusinessKey_CustomerID = d.BusinessKey_CustomerID))"""
+    return f"""
+    select {_list(columns)} from {target} g where {stays}
     union all
-    select {_list(ATTRIBUTES, 'g.')}, g.Version, false, g.EffectiveStartDate, {_as_of(n)},
-           g._audit_insert_batch, '{RUNS[n - 1].batch_id}' from {changed}
+    select {closed} from {changed}{absent if full else ""}
     union all
-    select {_list(ATTRIBUTES, 'd.')}, {_opened('g.Version + 1', n)} from {changed}
+    select {_list(attributes, 'd.')}, {_opened('g.Version + 1', n)} from {changed}
     union all
-    select {_list(ATTRIBUTES, 'd.')}, {_opened('1', n)} from {dim} d where not exists
-        (select 1 from {target} g where g.BusinessKey_CustomerID = d.BusinessKey_CustomerID)"""
+    select {_list(attributes, 'd.')}, {_opened(f"coalesce({last}, 0) + 1" if full else "1", n)} from {dim} d where not exists
+        (select 1 from {target} g where g.BusinessKey_CustomerID = d.BusinessKey_CustomerID{" and g.IsCurrent" if full else ""})"""
 
 
 def _chain(ingested: bool = False, update=None) -> dict[str, str]:
@@ -176,6 +187,75 @@ def _sql(last: str, final: str, **options) -> str:
     return f"with {', '.join(f'{name} as ({steps[name]})' for name in used)} {final}"
 
 
+def _with(steps: dict[str, str], final: str) -> str:
+    return f"with {', '.join(f'{name} as ({step})' for name, step in steps.items())} {final}"
+
+
+def _full_loads() -> str:
+    """Each batch alone, as a load that holds every key."""
+    steps = {"feed": feed.FEED_SQL, "bronze": "select * from feed", "prepared": _PREPARED}
+    for n in (1, 2, 3):
+        steps[f"source{n}"] = _source(n, "=")
+        steps[f"dim{n}"] = _dim(f"source{n}")
+        steps[f"gold{n}"] = (
+            f"select *, {_opened('1', 1)} from dim1" if n == 1 else _applied(f"gold{n - 1}", f"dim{n}", n, full=True)
+        )
+    return _with(steps, "select * from gold3")
+
+
+_EXTRA = ("account", "priority")
+_WIDENING = {
+    "feed": f"""
+    select {', '.join(feed.selected(feed.MASTER_COLUMNS))}, cast({feed.MASTER_ACCOUNT} as bigint) as account,
+           cast(null as varchar) as priority from customer
+    union all select * from (
+        select {', '.join(feed.selected(feed.ORDER_COLUMNS))}, {feed.ORDER_ACCOUNT}, o_orderpriority from orders)
+    where _batch_id = '{RUNS[1].batch_id}'""",
+    "bronze": "select * from feed",
+    "prepared": _PREPARED.replace("customer_state as raw_state", "customer_state as raw_state, account, priority"),
+}
+
+
+def _widened() -> str:
+    steps = dict(_WIDENING)
+    for n in (1, 2):
+        steps[f"source{n}"] = _source(n, "=", _EXTRA)
+        steps[f"silver{n}"] = f"select * from source{n}" if n == 1 else _upserted("silver1", "source2", extra=_EXTRA)
+        steps[f"dim{n}"] = _dim(f"silver{n}", _EXTRA)
+        steps[f"gold{n}"] = f"select *, {_opened('1', 1)} from dim1" if n == 1 else _applied("gold1", "dim2", 2, _EXTRA)
+    return _with(steps, "select * from gold2")
+
+
+def _histories() -> str:
+    """The islands of equal records along each customer's deliveries, after the first and after both loads."""
+    steps = {"feed": feed.FEED_SQL, "bronze": "select * from feed", "prepared": _PREPARED}
+    early = f"_batch_id = '{feed.FIRST_ORDERS_BATCH}'"
+    steps["rows"] = f"""
+    select sha256(customer_id) as SurrogateKey, customer_id as BusinessKey_CustomerID, {_list(ATTRIBUTES[2:])},
+           _created_at, case when {early} then 2 else 1 end as load from prepared where reason = ''"""
+    for n in (1, 2):
+        steps[f"seen{n}"] = f"""
+        select * from rows where load <= {n} and _created_at is not null
+        qualify row_number() over (partition by BusinessKey_CustomerID, _created_at
+            order by load desc, _record_hash desc, customer_unique_id desc) = 1"""
+        steps[f"island{n}"] = f"""
+        select * from seen{n} qualify coalesce(_record_hash <> lag(_record_hash) over
+            (partition by BusinessKey_CustomerID order by _created_at), true)"""
+        steps[f"history{n}"] = f"""
+        select {_list(ATTRIBUTES)}, cast(row_number() over w as integer) as Version,
+               lead(_created_at) over w is null as IsCurrent, _created_at as EffectiveStartDate,
+               lead(_created_at) over w as EffectiveEndDate
+        from island{n} window w as (partition by BusinessKey_CustomerID order by _created_at)"""
+    return _with(
+        steps,
+        f"""select h.*, case when o.Version is null then '{RUNS[1].batch_id}' else '{RUNS[0].batch_id}' end as _audit_insert_batch,
+                   case when o.Version is not null and (o.Version <> h.Version or o.EffectiveEndDate is distinct from h.EffectiveEndDate)
+                        then '{RUNS[1].batch_id}' end as _audit_update_batch
+            from history2 h left join history1 o on o.BusinessKey_CustomerID = h.BusinessKey_CustomerID
+             and o.EffectiveStartDate = h.EffectiveStartDate and o._record_hash = h._record_hash""",
+    )
+
+
 _QUARANTINE = f"""select customer_id, customer_unique_id, raw_zip as customer_zip_code_prefix,
     raw_city as customer_city, raw_state as customer_state, {{audit}}, reason as _dq_error_reason,
     {_as_of(3)} as _quarantine_ts, 'run-3' as _quarantine_run_id from prepared where reason <> ''"""
@@ -292,6 +372,25 @@ def all_oracles() -> dict[str, str]:
                 left join gold3 g on o.order_customer = g.BusinessKey_CustomerID and g.IsCurrent
                 group by all""",
         ),
+        "fact_dim_as_of": _sql(
+            "gold3",
+            f"""select o.*, {_list((*ATTRIBUTES[:-1], 'Version'), 'g.')},
+                       g.BusinessKey_CustomerID is not null as in_dimension from {_ORDERS} o
+                left join gold3 g on o.order_customer = g.BusinessKey_CustomerID
+                 and g.EffectiveStartDate <= o.o_orderdate
+                 and (g.EffectiveEndDate is null or o.o_orderdate < g.EffectiveEndDate)""",
+        ),
+        "scd2_late_arrivals": _histories(),
+        "scd2_closed_keys": _full_loads(),
+        "merge_evolving": _widened(),
+        "quarantine_evolving": _with(
+            _WIDENING,
+            _QUARANTINE.format(audit=f"{_list(AUDIT)}, {_list(_EXTRA)}")
+            .replace(_as_of(3), f"case _batch_id when '{RUNS[0].batch_id}' then {_as_of(1)} else {_as_of(2)} end")
+            .replace("'run-3'", f"case _batch_id when '{RUNS[0].batch_id}' then 'run-1' else 'run-2' end"),
+        ),
+        "clustered_interleaved": _sql("source3", "select * from source3"),
+        "silver_copartitioned": _sql("silver3", "select * from silver3"),
         "dq_load_profile": _sql(
             "bronze",
             f"""select {count} as total_rows, count(distinct _batch_id) as total_batches,

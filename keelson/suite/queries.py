@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson import functions
-from keelson.operators import metrics, profile, scd2
+from keelson.operators import late, metrics, profile, scd2
+from keelson.operators.as_of import join_as_of
 from keelson.operators.cleanse import (
     add_region,
     prepare,
@@ -19,15 +20,25 @@ from keelson.operators.cleanse import (
 )
 from keelson.operators.dedup import latest_per_key
 from keelson.operators.evolve import union_evolving
-from keelson.operators.layout import clustered
+from keelson.operators.layout import clustered, interleaved
 from keelson.operators.replace import delete_where, replace_by
 from keelson.operators.upsert import new_keys, upsert
 from keelson.plans import jobs
 from keelson.session import scratch_dir, use_utc
 from keelson.sources.contract import feed_report
+from keelson.sources.tables import BucketedTable, CopartitionedTable, FileKeyedTable
 from keelson.suite import feed
 from keelson.suite.feed import RUNS, table
-from keelson.spec import CONTENT_COLUMNS, CUSTOMER_COLUMNS, CUSTOMER_CONTRACT, CUSTOMER_SPEC, Run
+from keelson.spec import (
+    CONTENT_COLUMNS,
+    CUSTOMER_COLUMNS,
+    CUSTOMER_CONTRACT,
+    CUSTOMER_SPEC,
+    GOLD_SCHEMA,
+    QUARANTINE_SCHEMA,
+    SILVER_SCHEMA,
+    Run,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,13 +91,25 @@ def _silver(spark, sf_dir, n, spec=SPEC) -> DataFrame:
 
 
 def _last_run(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """The silver table of the last run and the dimension it meets, both as found on disk."""
-    silver = gold = None
-    for source, run in zip(_sources(spark, sf_dir, len(RUNS)), RUNS):
-        silver = _stored(spark, jobs.silver_after(silver, source, SPEC), "silver")
-        if run is not RUNS[-1]:
-            gold = _stored(spark, jobs.gold_after(gold, silver, run), "gold")
-    return silver, gold
+    """The silver table of the last run, and the dimension it meets as found on disk.
+
+    The feed is cleansed once, into a table by batch that every run reads its batches of.
+    """
+    path = scratch_dir(spark, "valid")
+    valid = valid_rows(prepare(feed.bronze(spark, sf_dir), SPEC), SPEC, RUNS[0]).drop(SPEC.updated_at)
+    valid.write.partitionBy("_batch_id").parquet(path)
+    valid = spark.read.schema(valid.schema).parquet(path)
+
+    def source(run: Run) -> DataFrame:
+        known = valid.filter(F.col("_batch_id") <= run.batch_id)
+        latest = latest_per_key(known, SPEC.key, SPEC.order_by, SPEC.tie_break)
+        return latest.withColumn(SPEC.updated_at, F.lit(run.as_of)).select(SILVER_SCHEMA.fieldNames())
+
+    first = _stored(spark, jobs.silver_after(None, source(RUNS[0]), SPEC), "silver")
+    second = _stored(spark, jobs.silver_after(first, source(RUNS[1]), SPEC), "silver")
+    third = jobs.silver_after(second, source(RUNS[2]), SPEC)
+    gold = jobs.gold_after(jobs.gold_after(None, first, RUNS[0]), second, RUNS[1])
+    return third, _stored(spark, gold, "gold")
 
 
 def _gold(spark, sf_dir) -> DataFrame:
@@ -205,6 +228,13 @@ def clustered_rewrite(spark, sf_dir):
     )
 
 
+@query
+def clustered_interleaved(spark, sf_dir):
+    return interleaved(
+        _source(spark, sf_dir, 3), ["customer_region", "customer_state"], ["customer_id"]
+    )
+
+
 # --- Upsert -----------------------------------------------------------------------------------
 
 
@@ -242,6 +272,20 @@ def silver_build(spark, sf_dir):
     return _silver(spark, sf_dir, 3)
 
 
+@query
+def silver_copartitioned(spark, sf_dir):
+    """All runs over a bucketed table of the catalog, which no merge moves."""
+    path = scratch_dir(spark, "silver")
+    name = "silver_" + path.rsplit("-", 1)[1]
+    table = CopartitionedTable(spark, name, SILVER_SCHEMA, SPEC.key, 8, path)
+    for source in _sources(spark, sf_dir, len(RUNS)):
+        first = not table.exists()
+        table.merge(
+            source, lambda target, new: jobs.silver_after(None if first else target, new, SPEC)
+        )
+    return table.read()
+
+
 # --- Dimension --------------------------------------------------------------------------------
 
 
@@ -272,6 +316,7 @@ def scd2_apply(spark, sf_dir):
 def scd2_rerun(spark, sf_dir):
     """Applying a run to the dimension that already holds it changes nothing."""
     silver, gold = _last_run(spark, sf_dir)
+    silver = _stored(spark, silver, "silver")
     once = _stored(spark, jobs.gold_after(gold, silver, RUNS[2]), "gold")
     return jobs.gold_after(once, silver, RUNS[2])
 
@@ -335,6 +380,93 @@ def fact_dim_totals(spark, sf_dir):
     )
 
 
+@query
+def fact_dim_as_of(spark, sf_dir):
+    """Each order with the customer as known on its date, by the run-dated dimension."""
+    return join_as_of(
+        _orders_with_key(spark, sf_dir),
+        _stored(spark, _gold(spark, sf_dir), "gold"),
+        "order_customer",
+        "o_orderdate",
+        attributes=[*scd2.dimension_source(_source(spark, sf_dir, 1)).columns[:-1], "Version"],
+    )
+
+
+# --- Loads out of order, full loads, loads with other columns --------------------------------
+
+
+@query
+def scd2_late_arrivals(spark, sf_dir):
+    """Every valid delivery dates its customer's record. The early orders arrive after the late ones."""
+    valid = valid_rows(prepare(feed.bronze(spark, sf_dir), SPEC), SPEC, RUNS[0])
+    rows = scd2.dimension_source(valid, carry=["_created_at", "_batch_id"]).withColumnRenamed("_created_at", late.AT)
+    dimension = observations = None
+    is_early = F.col("_batch_id") == feed.FIRST_ORDERS_BATCH
+    for run, part in ((RUNS[0], rows.filter(~is_early)), (RUNS[1], rows.filter(is_early))):
+        arrivals = part.drop("_batch_id")
+        found = late.observed(observations, arrivals, run, tie_break=["_record_hash", "customer_unique_id"])
+        observations = _stored(spark, found, "observations")
+        dimension = _stored(spark, late.apply_late(dimension, observations, arrivals, run), "gold")
+    return dimension
+
+
+def _by_batch(spark, sf_dir) -> list[DataFrame]:
+    """Latest valid row per key of each batch alone."""
+    prepared = prepare(feed.bronze(spark, sf_dir), SPEC)
+    return [
+        jobs.latest_valid(prepared.filter(F.col("_batch_id") == run.batch_id), SPEC, run)
+        for run in RUNS
+    ]
+
+
+@query
+def scd2_closed_keys(spark, sf_dir):
+    """Each batch taken as a full delivery: keys it lacks are closed, and reopened when they return."""
+    dimension = None
+    for source, run in zip(_by_batch(spark, sf_dir), RUNS):
+        changed = scd2.apply_changes(
+            dimension, scd2.dimension_source(source), run, unique_source=True, close_absent=True
+        )
+        dimension = _stored(spark, changed, "gold") if run is not RUNS[-1] else changed
+    return dimension
+
+
+def _widening_loads(spark, sf_dir) -> list[tuple[Run, DataFrame]]:
+    """The first two batches; the second has a wider ``account`` and a new column ``priority``."""
+    first = table(spark, sf_dir, "customer").selectExpr(
+        *feed.selected(feed.MASTER_COLUMNS), f"{feed.MASTER_ACCOUNT} as account"
+    )
+    second = table(spark, sf_dir, "orders").selectExpr(
+        *feed.selected(feed.ORDER_COLUMNS), f"{feed.ORDER_ACCOUNT} as account", "o_orderpriority as priority"
+    )
+    return [(RUNS[0], first), (RUNS[1], second.filter(F.col("_batch_id") == RUNS[1].batch_id))]
+
+
+@query
+def merge_evolving(spark, sf_dir):
+    """Silver and dimension, bucketed, after two loads with differing columns."""
+    root = scratch_dir(spark, "lake")
+    silver = BucketedTable(spark, f"{root}/silver", SILVER_SCHEMA, SPEC.key, 8)
+    gold = BucketedTable(spark, f"{root}/gold", GOLD_SCHEMA, scd2.BUSINESS_KEY, 8)
+    for run, bronze in _widening_loads(spark, sf_dir):
+        source = jobs.latest_valid(prepare(bronze, SPEC), SPEC, run)
+        first = not silver.exists()
+        silver.merge(source, lambda old, new: new if first else upsert(old, new, SPEC.key, SPEC.hash_column, unique_source=True))
+        changed = silver.read()
+        gold.merge(changed.withColumnRenamed(SPEC.key, scd2.BUSINESS_KEY), lambda old, _: jobs.gold_after(None if first else old, changed, run))
+    return gold.read()
+
+
+@query
+def quarantine_evolving(spark, sf_dir):
+    """The quarantine after two loads with differing columns."""
+    store = FileKeyedTable(spark, scratch_dir(spark, "quarantine"), QUARANTINE_SCHEMA, gather=True)
+    for run, bronze in _widening_loads(spark, sf_dir):
+        names = [row[0] for row in bronze.select("_source_file_name").distinct().collect()]
+        store.replace(quarantined_rows(prepare(bronze, SPEC), SPEC, run), names)
+    return store.read()
+
+
 # --- Reports ----------------------------------------------------------------------------------
 
 
