@@ -2,13 +2,13 @@
 
 A rolling hash over the bytes cuts each text where its last bits are zero, so the same passage is
 cut the same way in every document that holds it. The inside of a chunk is encoded once and
-remembered (bounded, per Python worker); documents that share it reuse ids and decoded bytes.
+remembered (bounded, for the length of a task); documents that share it reuse ids and decoded bytes.
 
 Cuts fall anywhere, also inside a word, so the ids beside a cut may differ from those of the whole
 text. Each join is therefore re-encoded: the stretch from the last sure boundary before the cut to
 the first one after it, over as many chunks as it takes. The byte-level pattern starts a piece at each
 sure boundary whatever surrounds it (where white space begins, behind it, and between an ASCII
-letter and a mark), so both sides agree exactly with the encoding of the whole text.Texts with white space
+letter and a mark), so both sides agree exactly with the encoding of the whole text. Texts with white space
 beyond ASCII, where that is not certain, are encoded whole.
 
 Defined cases: NULL text is the empty text, with no ids; special strings inside a text become their
@@ -41,8 +41,10 @@ _PIECE = re.compile(
     rb"|[ \t\n\r\x0b\x0c](?=[^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+"
 )
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_PIECES = 350_000
-_CHUNKS = 30_000
+#: What a task remembers: pieces in each of two generations, and chunks.
+_PIECES = 150_000
+_CHUNKS = 10_000
+SLICE = 2 << 20
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -67,7 +69,7 @@ def chunk_ends(data: np.ndarray) -> np.ndarray:
 
 
 class Coder:
-    """Encodes and decodes with the memory of one worker."""
+    """Encodes and decodes with the memory of one task."""
 
     def __init__(self, path: str):
         self.tokenizer = _tokenizer(path)
@@ -152,14 +154,8 @@ class Coder:
         return [pieces[1:-1], None, pieces[0], pieces[-1]]
 
 
-@functools.cache
-def _coder(path: str) -> Coder:
-    return Coder(path)
-
-
-def code(path: str, array: pa.Array) -> list[tuple[bytes, bytes]]:
+def code(coder: Coder, array: pa.Array) -> list[tuple[bytes, bytes]]:
     """Ids and decoded bytes of each text of an Arrow string array."""
-    coder = _coder(path)
     data, offsets = utf8(array)
     ends = chunk_ends(data)
     raw = data.tobytes()
@@ -184,9 +180,10 @@ def encode_ids(documents: DataFrame, path: str) -> DataFrame:
     ready(documents.sparkSession)
 
     def run(batches):
+        coder = Coder(path)  # its memory goes when the task ends
         for batch in batches:
-            for part in slices(batch, "text"):
-                found = code(path, part.column("text"))
+            for part in slices(batch, "text", SLICE):
+                found = code(coder, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
@@ -206,9 +203,10 @@ def round_trip(documents: DataFrame, path: str) -> DataFrame:
     ready(documents.sparkSession)
 
     def run(batches):
+        coder = Coder(path)  # its memory goes when the task ends
         for batch in batches:
-            for part in slices(batch, "text"):
-                found = code(path, part.column("text"))
+            for part in slices(batch, "text", SLICE):
+                found = code(coder, part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
