@@ -172,7 +172,7 @@ def _find(batches, length: int, n: int, run_bytes: int):
         return _rows(rows + _packed(np.mod(later["doc"], n), GONE, later))
 
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", 1 << 20):  # some ten arrays of 8 bytes a byte of text
             data, offsets = utf8(part.column("text"))
             own, low, high, at, gram, text = anchors(data, offsets, length)
             found = np.empty(len(own), _ANCHOR)
