@@ -14,12 +14,15 @@ Equal vectors form one class, which is indexed once and weighs as many links as
 group of copies never meets in one leaf.
 
 Defined cases: vectors that are NULL, all zero, or hold NULL or non-finite components link with
-nothing and are kept; so are vectors of another length; repeated ids are separate rows that count as
+nothing and are kept; vectors of different lengths do not link, each length has its own forest; cosines are
+taken of the vectors scaled by their largest component, so any size of components will do, and next to the
+bound they are decided in extended precision; repeated ids are separate rows that count as
 links of each other when their vectors link; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -41,6 +44,22 @@ WHOLE = 0.65
 TRIES = 4
 
 
+def units(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled by the largest component first, so that no square over- or underflows."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def reach(x: np.ndarray, a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
+    """Whether the cosine of the rows ``a`` and ``b`` of ``x``, rounded to double precision, is at least ``cosine``."""
+    out = np.empty(len(a), bool)
+    for at in range(0, len(a), 8192):
+        u, v = (x[side[at : at + 8192]].astype(np.longdouble) for side in (a, b))
+        found = (u * v).sum(1) / np.sqrt((u * u).sum(1) * (v * v).sum(1))
+        out[at : at + 8192] = found.astype(np.float64) >= cosine
+    return out
+
+
 def directions(seed: int, count: int, width: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((count, width))
 
@@ -86,9 +105,11 @@ def route(x: np.ndarray, levels) -> tuple[np.ndarray, np.ndarray]:
 
 
 def leaf_pairs(
-    x: np.ndarray, seed: int, leaf: int, spill: float, cosine: float, side: np.ndarray | None = None
+    given: np.ndarray, seed: int, leaf: int, spill: float, cosine: float, side: np.ndarray | None = None
 ) -> np.ndarray:
-    """Pairs of rows of the unit vectors ``x`` that share a leaf and reach the cosine; only across sides if given."""
+    """Pairs of rows that share a leaf and reach the cosine; only across sides if given."""
+    x = units(given)
+    given = given / np.abs(given).max(axis=1, keepdims=True)
     found, todo = [], [(np.arange(len(x)), 0)]
     while todo:
         rows, level = todo.pop()
@@ -106,7 +127,11 @@ def leaf_pairs(
             keep = rows[a + at] < rows[b]
             found.append(rows[a + at][keep] * len(x) + rows[b][keep])
     pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    return np.stack([pairs // max(1, len(x)), pairs % max(1, len(x))], axis=1)
+    a, b = pairs // max(1, len(x)), pairs % max(1, len(x))
+    close = np.flatnonzero(np.abs(np.einsum("id,id->i", x[a], x[b]) - cosine) <= 2e-9)  # the rest is decided
+    sure = np.ones(len(pairs), bool)
+    sure[close] = reach(given, a[close], b[close], cosine)
+    return np.stack([a[sure], b[sure]], axis=1)
 
 
 def link_vectors(
@@ -121,25 +146,32 @@ def link_vectors(
         .withColumn("id", F.monotonically_increasing_id()),
         "vector-classes",
     )
-    n = classes.count()
-    widths = classes.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    if widths is None:
+    widths = classes.groupBy(F.size("v").alias("w")).count().collect()  # a row per length of vectors
+    found = [
+        _links(classes.where(F.size("v") == r["w"]), r["count"], r["w"], cosine, trees, spill, cell, leaf, sample) for r in sorted(widths)
+    ]
+    if not found:
         return classes, spark.createDataFrame([], "a long, b long")
-    width = widths["w"]
+    return classes, stored(functools.reduce(DataFrame.union, found).distinct(), "vector-links")
+
+
+def _links(
+    usual: DataFrame, n: int, width: int, cosine: float, trees: int, spill: float, cell: int, leaf: int, sample: int
+) -> DataFrame:
+    """Linked ids ``a, b`` among vectors of one length; a pair may come from several trees."""
+    spark = usual.sparkSession
     depth = max(0, math.ceil(math.log2(max(1.0, n / cell)))) if n > cell else 0
     depth = min(depth, max(0, int(math.log2(sample / 16))))
     forest: list = [[] for _ in range(trees)]
     if depth:
-        chosen = classes.where(F.size("v") == width).orderBy(F.xxhash64("key"), "key").limit(sample)
-        rows = np.array([r[0] for r in chosen.select("v").collect()])
-        rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+        chosen = usual.orderBy(F.xxhash64("key"), "key").limit(sample)
+        rows = units(np.array([r[0] for r in chosen.select("v").collect()]))
         forest = [upper_tree(rows, t + 1, depth, spill, cosine) for t in range(trees)]
     forest = spark.sparkContext.broadcast(forest)  # trees x 2^depth <= trees x sample / 16 nodes
 
     def routed(batches):
         for batch in batches:
-            x = matrix(batch.column("v"), width)
-            x = x / np.linalg.norm(x, axis=1, keepdims=True)
+            x = units(matrix(batch.column("v"), width))
             for t, levels in enumerate(forest.value):
                 yield batch, t, *route(x, levels)
 
@@ -151,7 +183,7 @@ def link_vectors(
             )
 
     block = 4 * cell
-    usual = classes.where(F.size("v") == width).select("id", "v")
+    usual = usual.select("id", "v")
     dense = {}
     if depth:
         large = usual.mapInArrow(sizes, "tree int, cell long, n long").groupBy("tree", "cell").agg(F.sum("n").alias("n"))
@@ -183,7 +215,6 @@ def link_vectors(
     def compare(table: pa.Table) -> pa.Table:
         table = table.combine_chunks().sort_by("id")
         x = matrix(table.column("v"), width)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
         first = {c: int(table.column(c)[0].as_py()) for c in ("tree", "cell", "low", "high")}
         seed = 1_000_003 * (first["tree"] + 1) + first["cell"]
         side = np.asarray(table.column("own")) if first["low"] < first["high"] else None
@@ -192,8 +223,7 @@ def link_vectors(
         return pa.table({"a": ids.take(pa.array(pairs[:, 0])), "b": ids.take(pa.array(pairs[:, 1]))})
 
     dealt = usual.mapInArrow(deal, "tree int, cell long, low int, high int, own int, id long, v array<double>")
-    found = dealt.groupBy("tree", "cell", "low", "high").applyInArrow(compare, "a long, b long")
-    return classes, stored(found.distinct(), "vector-links")
+    return dealt.groupBy("tree", "cell", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
