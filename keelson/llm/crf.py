@@ -38,7 +38,7 @@ SEGMENTS = 1500
 WORDS = 32
 LEAST_WORDS = 4
 LEXICON = 1 << 18
-WEIGHTS = 1 << 17
+WEIGHT_BITS = 17
 STEPS = 40
 JOINED = 3
 RATE = 0.1
@@ -50,6 +50,7 @@ _GAP = np.ones(256, bool)
 _GAP[97:123] = False
 _GAP[128:] = False
 _ALPHA = 0.5
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass
@@ -57,14 +58,14 @@ class Model:
     langs: list[str]
     lexicon: np.ndarray  # places x languages, counts
     totals: np.ndarray
-    weights: np.ndarray  # feature places x languages
+    weights: np.ndarray  # languages x feature places
     trust: float  # weight of the lexicon
     move: np.ndarray  # log weights of transitions
     start: np.ndarray
 
 
 def features(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature places of each word, and where each word's begin: n-grams of 2 to 4 bytes with marks at both ends, affixes of 2 to 5."""
+    """Places of features, and the word each is of: n-grams of 2 to 4 bytes with marks at both ends, affixes of 2 to 5."""
     data, offsets = utf8_bytes(words)
     sizes = np.diff(offsets)
     n = len(sizes)
@@ -91,9 +92,8 @@ def features(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
             codes.append(grams[place[long]] | np.uint64((tag + k) << 56))
             owners.append(long)
     code, owner = np.concatenate(codes), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    place = (mix(code[order]) % np.uint64(WEIGHTS)).astype(np.int64)
-    return place, np.searchsorted(owner[order], np.arange(n))
+    # The upper bits of a product with an odd number spread well, and take one step.
+    return ((code * _SPREAD) >> np.uint64(64 - WEIGHT_BITS)).astype(np.int64), owner
 
 
 def utf8_bytes(words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,8 +114,8 @@ def lexicon_scores(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
 
 def emissions(words: pa.LargeBinaryArray, model: Model, ids: np.ndarray) -> np.ndarray:
     """Log weights of each language for each distinct word."""
-    place, begin = features(words)
-    out = np.stack([np.add.reduceat(model.weights[:, k][place], begin) for k in range(len(model.langs))], axis=1) if len(words) else np.zeros((0, len(model.langs)))
+    place, owner = features(words)
+    out = np.stack([np.bincount(owner, row[place], len(words)) for row in model.weights], axis=1)
     counts = model.lexicon[(ids % np.uint64(LEXICON)).astype(np.int64)]
     return out + model.trust * lexicon_scores(counts.astype(np.float64), model.totals)
 
@@ -138,48 +138,54 @@ def forward_backward(emit: np.ndarray, offsets: np.ndarray, move: np.ndarray, st
     owner = np.repeat(np.arange(len(sizes)), per)
     begin = offsets[:-1][owner] + (np.arange(count) - first[owner]) * block
     length = np.minimum(block, offsets[1:][owner] - begin)
-    opens = np.arange(count) == first[owner]
+    # Long blocks first: those that still run at a step are then the first ones.
+    order = np.argsort(-length, kind="stable")
+    place = np.empty(count, np.int64)
+    place[order] = np.arange(count)
+    opens = np.flatnonzero((np.arange(count) == first[owner])[order])
+    begin, length = begin[order], length[order]
+    running = np.searchsorted(-length, -np.arange(int(length[0])), side="left")
 
     def unit(x):
         return x / x.sum(-1, keepdims=True)
 
     whole = np.broadcast_to(np.eye(k), (count, k, k)).copy()
-    for t in range(int(length.max())):
-        live = np.flatnonzero(length > t)
-        step = whole[live] @ a
+    for t, m in enumerate(running):
+        step = (whole[:m].reshape(-1, k) @ a).reshape(m, k, k)
         if t == 0:
-            step[opens[live]] = s
-        step *= e[begin[live] + t][:, None, :]
-        whole[live] = step / step.sum((1, 2), keepdims=True)
+            step[opens] = s
+        step *= e[begin[:m] + t][:, None, :]
+        whole[:m] = step / step.sum((1, 2), keepdims=True)
     into, back = np.full((count, k), 1 / k), np.full((count, k), 1 / k)
     at = np.full((len(sizes), k), 1 / k)
     for r in range(int(per.max())):
         live = np.flatnonzero(per > r)
-        into[first[live] + r] = at[live]
-        at[live] = unit(np.einsum("ni,nij->nj", at[live], whole[first[live] + r]))
+        here = place[first[live] + r]
+        into[here] = at[live]
+        at[live] = unit(np.einsum("ni,nij->nj", at[live], whole[here]))
     at = np.full((len(sizes), k), 1 / k)
     for r in range(int(per.max()) - 1, -1, -1):
         live = np.flatnonzero(per > r)
-        back[first[live] + r] = at[live]
-        at[live] = unit(np.einsum("nij,nj->ni", whole[first[live] + r], at[live]))
+        here = place[first[live] + r]
+        back[here] = at[live]
+        at[live] = unit(np.einsum("nij,nj->ni", whole[here], at[live]))
     alpha, beta = np.empty((n, k)), np.empty((n, k))
-    for t in range(int(length.max())):
-        live = np.flatnonzero(length > t)
-        step = into[live] @ a
+    for t, m in enumerate(running):
+        step = into[:m] @ a
         if t == 0:
-            step[opens[live]] = s
-        into[live] = alpha[begin[live] + t] = unit(step * e[begin[live] + t])
-    for t in range(int(length.max()) - 1, -1, -1):
-        live = np.flatnonzero(length > t)
-        here = begin[live] + t
-        beta[here] = back[live]
-        back[live] = unit((e[here] * back[live]) @ a.T)
+            step[opens] = s
+        into[:m] = alpha[begin[:m] + t] = unit(step * e[begin[:m] + t])
+    for t in range(len(running) - 1, -1, -1):
+        m = running[t]
+        here = begin[:m] + t
+        beta[here] = back[:m]
+        back[:m] = unit((e[here] * back[:m]) @ a.T)
     later = np.ones(n, bool)
     later[offsets[:-1][sizes > 0]] = False
     later = np.flatnonzero(later)
-    pair = alpha[later - 1][:, :, None] * a[None] * (e[later] * beta[later])[:, None, :]
-    pair /= pair.sum((1, 2), keepdims=True)
-    return unit(alpha * beta), pair.sum(0)
+    before, after = alpha[later - 1], e[later] * beta[later]
+    chance = ((before @ a) * after).sum(1, keepdims=True)
+    return unit(alpha * beta), (before / chance).T @ after * a
 
 
 def _words(column, seed: int = 0):
@@ -235,9 +241,12 @@ def sample(learned: DataFrame, segments: int = SEGMENTS, words: int = WORDS) ->
                 ends = np.append(starts[1:], len(code))
                 long = ends - starts >= LEAST_WORDS
                 for lang in dict.fromkeys(langs):
-                    mine = np.flatnonzero(long & (np.array([x == lang for x in langs])[text[starts]]))
-                    mine = mine[np.argsort(total[mine], kind="stable")[:segments]]
                     some = kept.setdefault(lang, {})
+                    mine = long & (np.array([x == lang for x in langs])[text[starts]])
+                    if len(some) == segments:  # larger ones than the last kept can not get in
+                        mine &= total < np.uint64(next(reversed(some)))
+                    mine = np.flatnonzero(mine)
+                    mine = mine[np.argsort(total[mine], kind="stable")[:segments]]
                     for i in mine:
                         if int(total[i]) not in some:
                             some[int(total[i])] = b" ".join(kinds.take(pa.array(code[starts[i] : ends[i]])).to_pylist())
@@ -258,7 +267,7 @@ def sample(learned: DataFrame, segments: int = SEGMENTS, words: int = WORDS) ->
 def fit(langs: list[str], counts: np.ndarray, chosen: list[tuple[str, str]], steps: int = STEPS) -> Model:
     """Weights of largest penalised likelihood on sequences of ``JOINED`` segments each, in a fixed shuffled order."""
     k = max(1, len(langs))
-    model = Model(langs, counts, counts.sum(0).astype(np.float64), np.zeros((WEIGHTS, k)), 1.0, np.zeros((k, k)), np.zeros(k))
+    model = Model(langs, counts, counts.sum(0).astype(np.float64), np.zeros((k, 1 << WEIGHT_BITS)), 1.0, np.zeros((k, k)), np.zeros(k))
     if not chosen:
         return model
     order = np.random.default_rng(7).permutation(len(chosen))
@@ -268,8 +277,7 @@ def fit(langs: list[str], counts: np.ndarray, chosen: list[tuple[str, str]], ste
     kinds, ids, code, text = _words(pa.array(texts, pa.large_string()))
     y = label[text]
     edges = np.append(np.searchsorted(text, np.arange(0, len(texts), JOINED)), len(code))
-    place, begin = features(kinds)
-    owner = np.repeat(np.arange(len(kinds)), np.diff(np.append(begin, len(place))))
+    place, owner = features(kinds)
     own = counts[(ids % np.uint64(LEXICON)).astype(np.int64)].astype(np.float64)[code]
     own[np.arange(len(code)), y] = np.maximum(0, own[np.arange(len(code)), y] - 1)
     known = lexicon_scores(own, model.totals)
@@ -284,12 +292,12 @@ def fit(langs: list[str], counts: np.ndarray, chosen: list[tuple[str, str]], ste
     means, squares = [np.zeros_like(x) for x in state], [np.zeros_like(x) for x in state]
     for step in range(1, steps + 1):
         weights, trust, move, start = state
-        emit = np.stack([np.add.reduceat(weights[:, j][place], begin) for j in range(k)], axis=1)[code] + trust * known
+        emit = np.stack([np.bincount(owner, row[place], len(kinds)) for row in weights], axis=1)[code] + trust * known
         got, moved = forward_backward(emit, edges, move, start)
         miss = got - true
         by_word = np.stack([np.bincount(code, miss[:, j], len(kinds)) for j in range(k)], axis=1)
         slope = [
-            np.stack([np.bincount(place, by_word[owner, j], WEIGHTS) for j in range(k)], axis=1),
+            np.stack([np.bincount(place, by_word[owner, j], 1 << WEIGHT_BITS) for j in range(k)]),
             np.array([(miss * known).sum()]), moved - true_moves, miss[opened].sum(0),
         ]
         for i, (x, g) in enumerate(zip(state, slope)):  # Adam, on the mean over words
