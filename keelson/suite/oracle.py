@@ -268,7 +268,23 @@ _ORDERS = (
 )
 
 
+#: The same reports over the state of all files.
+INCREMENTAL = {
+    "dq_incremental_load_profile": "dq_load_profile",
+    "dq_incremental_null_profile": "dq_null_profile",
+    "dq_incremental_duplicate_keys": "dq_duplicate_keys",
+    "dq_incremental_top_states": "dq_top_states",
+    "dq_incremental_bad_format": "dq_bad_format_raw",
+    "dq_incremental_lineage": "dq_lineage",
+}
+
+
 def all_oracles() -> dict[str, str]:
+    found = _oracles()
+    return found | {name: found[same] for name, same in INCREMENTAL.items()}
+
+
+def _oracles() -> dict[str, str]:
     count = "cast(count(*) as bigint)"
     return {
         "standardize": _sql(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson import functions
-from keelson.operators import late, metrics, profile, scd2
+from keelson.operators import late, metrics, profile, report_state, scd2
 from keelson.operators.as_of import join_as_of
 from keelson.operators.cleanse import (
     add_region,
@@ -538,6 +538,45 @@ def run_metrics(spark, sf_dir):
     return metrics.run_metrics(prepare(feed.bronze(spark, sf_dir), SPEC), SPEC)
 
 
+def _report_state(spark, sf_dir) -> DataFrame:
+    """The state after every load: each reads its own batch only, and the last one is delivered again."""
+    state = FileKeyedTable(spark, scratch_dir(spark, "report-state"), report_state.STATE_SCHEMA)
+    rows = feed.bronze(spark, sf_dir)
+    for run, names in [*(batches := _batches(spark, sf_dir)), *batches[-1:]]:
+        state.replace(report_state.summarise(rows.filter(F.col("_batch_id") == run.batch_id)), names)
+    return state.read()
+
+
+@query
+def dq_incremental_load_profile(spark, sf_dir):
+    return report_state.load_profile(_report_state(spark, sf_dir))
+
+
+@query
+def dq_incremental_null_profile(spark, sf_dir):
+    return report_state.null_profile(_report_state(spark, sf_dir))
+
+
+@query
+def dq_incremental_duplicate_keys(spark, sf_dir):
+    return report_state.duplicate_keys(_report_state(spark, sf_dir))
+
+
+@query
+def dq_incremental_top_states(spark, sf_dir):
+    return report_state.top_values(_report_state(spark, sf_dir))
+
+
+@query
+def dq_incremental_bad_format(spark, sf_dir):
+    return report_state.bad_formats(_report_state(spark, sf_dir))
+
+
+@query
+def dq_incremental_lineage(spark, sf_dir):
+    return report_state.lineage(_report_state(spark, sf_dir))
+
+
 # --- Through files ----------------------------------------------------------------------------
 
 
