@@ -34,6 +34,8 @@ class Contract:
     columns: tuple[str, ...]
     # Keep columns a drop has beside these, as text.
     keep_extra: bool = False
+    # Keep malformed rows whole, as text, instead of cutting and padding them.
+    rescue: bool = False
     delimiter: str = ","
     quote: str = '"'
     escape: str = '"'
@@ -109,6 +111,9 @@ CUSTOMER_RULES = {
     "DQ-04": r"customer_zip_code_prefix RLIKE '^[0-9]+\\z'",
 }
 
+# For contracts that rescue malformed rows: these rows break this rule first.
+RESCUE_RULE = {"DQ-00": "_rescued_row IS NULL"}
+
 # Update only these on a changed row; the rest of the row keeps its first insert.
 CONTENT_COLUMNS = (
     "customer_zip_code_prefix",

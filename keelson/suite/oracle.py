@@ -488,6 +488,14 @@ def _oracles() -> dict[str, str]:
                       '' as extra_columns, true as is_valid, true as has_delimiter,
                       false as is_empty from bronze""",
         ),
+        "feed_rescued_rows": f"""
+            with lines as (select _source_file_name, {feed.DAMAGED_LINE} as line, {feed.IS_DAMAGED} as damaged
+                from (select {', '.join(feed.selected(feed.ORDER_COLUMNS))}, o_orderkey as number from orders))
+            select concat('drop=', _source_file_name) as _source_file_name, line as _rescued_row, 'DQ-00' as rule,
+                   cast(1 as bigint) as lines from lines where damaged
+            union all
+            select concat('drop=', _source_file_name), null, null, {count} from lines where not damaged
+            group by _source_file_name""",
         "ingest_bronze": _sql(
             "bronze",
             f"select {_list(CUSTOMER_COLUMNS)}, {_AUDIT_WITHOUT_PATH} from bronze",

@@ -26,6 +26,7 @@ from keelson.operators.upsert import new_keys, upsert
 from keelson.plans import jobs
 from keelson.session import scratch_dir, use_utc
 from keelson.sources.contract import feed_report
+from keelson.sources.csv_feed import read_drops
 from keelson.sources.tables import BucketedTable, CopartitionedTable, FileKeyedTable
 from keelson.suite import feed
 from keelson.suite.feed import RUNS, table
@@ -36,6 +37,7 @@ from keelson.spec import (
     CUSTOMER_SPEC,
     GOLD_SCHEMA,
     QUARANTINE_SCHEMA,
+    RESCUE_RULE,
     SILVER_SCHEMA,
     Run,
 )
@@ -623,6 +625,29 @@ def feed_contract(spark, sf_dir):
     )
 
 
+@query
+def feed_rescued_rows(spark, sf_dir):
+    """Orders delivered as CSV with damaged lines: what each drop's lines became, rescued ones with their text
+    in the quarantine."""
+    root = scratch_dir(spark, "drops")
+    header = ",".join(CUSTOMER_COLUMNS)
+    lines = feed.order_lines(spark, sf_dir)
+    drops = [row[0] for row in lines.select("drop").distinct().collect()]
+    # The one column is named as the header should read, and no character of the lines is special.
+    lines.withColumnRenamed("line", header).write.partitionBy("drop").options(
+        header="true", quote="", sep="\u0001", escapeQuotes="false", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(root)
+    contract = replace(CUSTOMER_CONTRACT, rescue=True)
+    spec = replace(SPEC, rules={**RESCUE_RULE, **SPEC.rules})
+    bronze = read_drops(spark, _drops(root, *drops), contract, RUNS[1], name_from="folder")
+    rejected = quarantined_rows(prepare(bronze, spec), spec, RUNS[1])
+    rescued = rejected.filter(F.col("_rescued_row").isNotNull()).select(
+        "_source_file_name", "_rescued_row", F.substring("_dq_error_reason", 1, 5).alias("rule"), F.lit(1).cast("long").alias("lines")
+    )
+    others = bronze.filter(F.col("_rescued_row").isNull()).groupBy("_source_file_name").agg(F.count("*").alias("lines"))
+    return rescued.unionByName(others, allowMissingColumns=True)
+
+
 def _ingested(spark, sf_dir) -> jobs.Tables:
     """Bronze after three runs over CSV drops, the last of them run twice."""
     root = _delivered(spark, sf_dir)

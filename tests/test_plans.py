@@ -5,7 +5,7 @@ import pytest
 from keelson.suite.queries import all_queries
 
 # Queries that are one plan; the others write tables on the way.
-WRITING = ("medallion", "ingest", "feed_contract", "silver_copartitioned", "dq_incremental")
+WRITING = ("medallion", "ingest", "feed_contract", "silver_copartitioned", "dq_incremental", "feed_rescued")
 LAZY = [name for name in all_queries() if not name.startswith(WRITING)]
 
 
