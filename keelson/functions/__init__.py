@@ -4,6 +4,7 @@ from keelson.functions.columns import (
     file_path,
     plain_path,
     record_hash,
+    set_digest,
     surrogate_key,
 )
 from keelson.functions.rules import all_pass, failed_rules
@@ -16,5 +17,6 @@ __all__ = [
     "file_path",
     "plain_path",
     "record_hash",
+    "set_digest",
     "surrogate_key",
 ]

@@ -58,3 +58,25 @@ def bucket_of(key: str, buckets: int) -> Column:
     """Bucket by the hash Spark shuffles on, so rows shuffled by key are already grouped by
     bucket when the number of shuffle partitions is a multiple of ``buckets``."""
     return F.pmod(F.hash(F.col(key)), F.lit(buckets))
+
+
+class _SetDigest:
+    """Digest of a set with repeats that can be summed in parts: the sums of both halves of
+    each value's MD5. Equal for equal rows in any order; NULL counts as a value of its own."""
+
+    NAMES = ("_digest_high", "_digest_low")
+
+    def sums(self, value: Column) -> dict[str, Column]:
+        hashed = F.md5(F.coalesce(F.concat(F.lit("v"), value), F.lit("")))
+        halves = (F.substring(hashed, 1, 16), F.substring(hashed, 17, 16))
+        number = "decimal(20,0)"
+        return {n: F.sum(F.conv(half, 16, 10).cast(number)) for n, half in zip(self.NAMES, halves)}
+
+    def text(self, sums: dict[str, Column]) -> Column:
+        return F.concat_ws("-", *(s.cast("string") for s in sums.values()))
+
+    def __call__(self, value: Column) -> Column:
+        return self.text(self.sums(value))
+
+
+set_digest = _SetDigest()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import timezone
 from functools import reduce
 
@@ -108,12 +108,15 @@ def read_drops(
     contract: Contract,
     run: Run,
     name_from: str = "file",
+    headers: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Rows of all drops with audit columns, after checking every drop. Drops with the same
     header are read by one scan, so column order may differ between drops; an extra column that some
-    drops lack is NULL there."""
+    drops lack is NULL there. ``headers`` are those of the paths where they are known and checked."""
     by_header = defaultdict(list)
-    for path, header in checked_headers(spark, paths, contract).items():
+    if headers is None:
+        headers = checked_headers(spark, paths, contract)
+    for path, header in headers.items():
         by_header[header].append(path)
     scan = _rescuing_scan if contract.rescue else _scan
     scans = [scan(spark, group, header, contract) for header, group in by_header.items()]
