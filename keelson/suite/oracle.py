@@ -216,6 +216,18 @@ _WIDENING = {
 }
 
 
+def _changes(before: str, after: str) -> str:
+    """Rows of the one that the other lacks, named by what became of their key."""
+
+    def side(rows: str, others: str, alone: str, paired: str) -> str:
+        return f"""
+        select case when exists (select 1 from {others} o where o.customer_id is not distinct from d.customer_id)
+                    then '{paired}' else '{alone}' end as _change, d.*
+        from (select {_list(SILVER)} from {rows} except select {_list(SILVER)} from {others}) d"""
+
+    return f"{side(before, after, 'delete', 'update_before')} union all {side(after, before, 'insert', 'update_after')}"
+
+
 def _widened() -> str:
     steps = dict(_WIDENING)
     for n in (1, 2):
@@ -399,6 +411,12 @@ def _oracles() -> dict[str, str]:
         "scd2_late_arrivals": _histories(),
         "scd2_closed_keys": _full_loads(),
         "merge_evolving": _widened(),
+        "silver_changes": _sql("silver3", _changes("silver2", "silver3")),
+        "load_changes": _with(
+            {"feed": feed.FEED_SQL, "bronze": "select * from feed", "prepared": _PREPARED}
+            | {f"source{n}": _source(n, "=") for n in (2, 3)},
+            _changes("source2", "source3"),
+        ),
         "quarantine_evolving": _with(
             _WIDENING,
             _QUARANTINE.format(audit=f"{_list(AUDIT)}, {_list(_EXTRA)}")
@@ -501,6 +519,18 @@ def _oracles() -> dict[str, str]:
             f"select {_list(CUSTOMER_COLUMNS)}, {_AUDIT_WITHOUT_PATH} from bronze",
             ingested=True,
         ),
+        "ingest_with_ledger": _sql(
+            "bronze",
+            f"select {_list(CUSTOMER_COLUMNS)}, {_AUDIT_WITHOUT_PATH} from bronze",
+            ingested=True,
+        ),
+        "ledger_entries": _sql(
+            "bronze",
+            f"""select _source_file_name as source, '{",".join(CUSTOMER_COLUMNS)}' as first_line,
+                       {count} as rows, _batch_id as batch_id, _created_at as ingested_at
+                from bronze group by all""",
+            ingested=True,
+        ),
         "medallion_end_to_end": _sql("gold3", "select * from gold3", ingested=True),
         "medallion_bucketed": _sql("gold3", "select * from gold3", ingested=True),
         "medallion_quarantine": _sql(

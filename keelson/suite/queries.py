@@ -27,6 +27,7 @@ from keelson.plans import jobs
 from keelson.session import scratch_dir, use_utc
 from keelson.sources.contract import feed_report
 from keelson.sources.csv_feed import read_drops
+from keelson.sources.states import StateLog
 from keelson.sources.tables import BucketedTable, CopartitionedTable, FileKeyedTable
 from keelson.suite import feed
 from keelson.suite.feed import RUNS, table
@@ -469,6 +470,28 @@ def quarantine_evolving(spark, sf_dir):
     return store.read()
 
 
+# --- Changes between states -------------------------------------------------------------------
+
+
+def _changes(spark, before, after, key) -> DataFrame:
+    log = StateLog(spark, scratch_dir(spark, "states"), [key], buckets=8, leaves=64)
+    return log.changes(log.publish(before), log.publish(after)).drop("_copies")
+
+
+@query
+def silver_changes(spark, sf_dir):
+    """What the last run did to the silver table."""
+    _, second, third = _silvers(spark, sf_dir, 3)
+    return _changes(spark, second, third, SPEC.key)
+
+
+@query
+def load_changes(spark, sf_dir):
+    """The last load against the one before: keys that came, went and changed."""
+    _, second, third = _by_batch(spark, sf_dir)
+    return _changes(spark, second, third, SPEC.key)
+
+
 # --- Reports ----------------------------------------------------------------------------------
 
 
@@ -658,6 +681,28 @@ def _ingested(spark, sf_dir) -> jobs.Tables:
     return tables
 
 
+def _ledgered(spark, sf_dir) -> jobs.Tables:
+    """Bronze after three runs, each of which is given all that was delivered so far."""
+    root = _delivered(spark, sf_dir)
+    tables = jobs.Tables.under(spark, scratch_dir(spark, "lake"))
+    delivered = []
+    for run, names in [*(batches := _batches(spark, sf_dir)), *batches[-1:]]:
+        delivered += [name for name in names if name not in delivered]
+        jobs.ingest_new(spark, _drops(root, *delivered), tables, run, name_from="folder")
+    return tables
+
+
+@query
+def ingest_with_ledger(spark, sf_dir):
+    return _ledgered(spark, sf_dir).bronze.read().drop("_source_file_path")
+
+
+@query
+def ledger_entries(spark, sf_dir):
+    """What the ledger holds in the end, without what differs from run to run."""
+    return _ledgered(spark, sf_dir).ledger.read().select("source", "first_line", "rows", "batch_id", "ingested_at")
+
+
 @query
 def ingest_bronze(spark, sf_dir):
     """Without the full path, which differs from run to run."""
