@@ -14,8 +14,10 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,21 @@ def list_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in fs.globStatus(target) or []]
 
 
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -90,14 +107,8 @@ class _Evolving:
         return merged_schema(self.schema, T.StructType.fromJson(json.loads(text)))
 
     def _note(self, schema: T.StructType) -> None:
-        jvm = self.spark.sparkContext._jvm
         number = len(list_paths(self.spark, f"{self.path}.schema/*")) + 1
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.path}.schema/{number:06d}")
-        out = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(target, False)
-        try:
-            out.write(schema.json().encode())
-        finally:
-            out.close()
+        write_new(self.spark, f"{self.path}.schema/{number:06d}", schema.json())
 
     def admit(self, rows: T.StructType) -> T.StructType:
         """The schema after taking in rows of this one, noted if it is new."""
@@ -232,18 +243,24 @@ class SnapshotTable:
         self.publish(change(self.read(), source))
 
 
+class ConcurrentChange(RuntimeError):
+    """Another run changed the table meanwhile; nothing was published."""
+
+
 class BucketedTable(_Evolving):
     """Partitioned by key bucket, for a table much larger than one load: a change reads and
     rewrites only the buckets its keys fall into. Within a bucket rows are sorted by
     ``cluster_by``, which costs no shuffle.
 
-    Spark swaps the rewritten folders in when the job commits. Lost executors do not matter,
-    but a driver that dies during the swap can leave a bucket missing; where that cannot be
-    repaired from the source, use ``SnapshotTable``. Make ``spark.sql.shuffle.partitions`` a
-    multiple of ``buckets``: then a shuffled partition holds one bucket.
+    A change writes new versions of its buckets beside the old ones. ``<path>.manifest/<n>`` says which
+    version of each bucket the table has, and is written last: a run that dies leaves the table as it was, and
+    readers never see half a change. Of two runs that change the table at once the second fails. Old versions
+    stay until ``vacuum``. Make ``spark.sql.shuffle.partitions`` a multiple of ``buckets``: then a shuffled
+    partition holds one bucket.
     """
 
     PARTITION = "_key_bucket"
+    VERSION = "_version"
 
     def __init__(
         self,
@@ -257,15 +274,55 @@ class BucketedTable(_Evolving):
         self.spark, self.path, self.schema = spark, path, schema
         self.key, self.buckets, self.cluster_by = key, buckets, cluster_by
 
+    def _manifests(self) -> list[int]:
+        found = list_paths(self.spark, f"{self.path}.manifest/*")
+        return sorted(int(p.rsplit("/", 1)[1]) for p in found)
+
+    def _manifest(self) -> dict | None:
+        """The newest manifest that was written to its end."""
+        for number in reversed(self._manifests()):
+            text = self.spark.read.text(f"{self.path}.manifest/{number:09d}", wholetext=True).first()
+            try:
+                return json.loads(text[0])
+            except (TypeError, ValueError):  # the run died while it wrote this one
+                continue
+        return None
+
+    def _live(self) -> dict[int, str] | None:
+        """Version by bucket."""
+        manifest = self._manifest()
+        return None if manifest is None else {int(b): v for b, v in manifest["buckets"].items()}
+
+    def stored_schema(self) -> T.StructType:
+        """A rewrite changes files and types at once, so the manifest has its own schema."""
+        manifest = self._manifest()
+        noted = super().stored_schema()
+        return merged_schema(noted, T.StructType.fromJson(manifest["schema"])) if manifest else noted
+
+    def _commit(self, number: int, live: dict[int, str], schema: T.StructType) -> None:
+        name = f"{self.path}.manifest/{number:09d}"
+        try:
+            write_new(self.spark, name, json.dumps({"schema": schema.jsonValue(), "buckets": live}))
+        except Py4JJavaError as error:
+            if path_exists(self.spark, name):
+                raise ConcurrentChange(f"{self.path}: changed by another run") from error
+            raise
+
     def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
+        return self._live() is not None
 
-    def _stored(self) -> DataFrame:
+    def _stored(self, live: dict[int, str] | None = None) -> DataFrame:
+        live = self._live() if live is None else live
         bucket = T.StructField(self.PARTITION, T.IntegerType())
-        schema = T.StructType([*self.stored_schema().fields, bucket])
-        if not self.exists():
-            return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+        version = T.StructField(self.VERSION, T.StringType())
+        schema = T.StructType([*self.stored_schema().fields, bucket, version])
+        if not live:
+            return empty(self.spark, schema).drop(self.VERSION)
+        folders = [self._folder(b, v) for b, v in sorted(live.items())]
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*folders).drop(self.VERSION)
+
+    def _folder(self, bucket: int, version: str) -> str:
+        return f"{self.path}/{self.PARTITION}={bucket}/{self.VERSION}={version}"
 
     def read(self) -> DataFrame:
         return self._stored().drop(self.PARTITION)
@@ -277,16 +334,51 @@ class BucketedTable(_Evolving):
 
     def merge(self, source: DataFrame, change: Change, keys: DataFrame | None = None) -> None:
         """``keys`` may be any cheaper frame that holds at least the keys of the source, such as
-        the rows the source is computed from."""
-        stored = self._stored()
-        if self.exists():
+        the rows the source is computed from. A bucket that has no rows left is dropped."""
+        number = max(self._manifests(), default=0) + 1
+        live = self._live()
+        stored = self._stored(live or {})
+        replaced = set()
+        if live is not None:
             touched = self.touched(source if keys is None else keys)
+            replaced = set(touched)
             stored = stored.filter(F.col(self.PARTITION).isin(touched))
         result = change(stored.drop(self.PARTITION), source)
         result = conform(result, self.admit(result.schema))
         result = result.withColumn(self.PARTITION, bucket_of(self.key, self.buckets))
-        result = result.sortWithinPartitions(self.PARTITION, *self.cluster_by)
-        replace_partitions(result, self.path, self.PARTITION)
+        self._publish(number, live or {}, replaced, result.sortWithinPartitions(self.PARTITION, *self.cluster_by))
+
+    def _publish(self, number: int, live: dict[int, str], replaced: set[int], rows: DataFrame) -> None:
+        """Write new versions and say that they replace the old ones of these buckets."""
+        version = f"v{uuid.uuid4().hex}"
+        new = rows.withColumn(self.VERSION, F.lit(version))
+        new.write.partitionBy(self.PARTITION, self.VERSION).mode("append").parquet(self.path)
+        written = list_paths(self.spark, self._folder("*", version))
+        kept = {b: v for b, v in live.items() if b not in replaced}
+        made = {int(re.search(rf"/{self.PARTITION}=(\d+)/", p)[1]): version for p in written}
+        if set(kept) & set(made):
+            raise ValueError(f"{self.path}: the change made rows in buckets its keys are not in")
+        schema = T.StructType([f for f in rows.schema.fields if f.name != self.PARTITION])
+        self._commit(number, kept | made, schema)
+
+    def rewrite(self, schema: T.StructType) -> None:
+        number = max(self._manifests(), default=0) + 1
+        live = self._live() or {}
+        schema = merged_schema(self.stored_schema(), schema)
+        kept = self._stored(live)
+        wide = conform(kept, T.StructType([*schema.fields, kept.schema[self.PARTITION]]))
+        self._publish(number, live, set(live), wide.sortWithinPartitions(self.PARTITION, *self.cluster_by))
+
+    def vacuum(self) -> list[str]:
+        """Delete the versions the table no longer has; returns their folders. Not while a change or a
+        reader of an older state is at work."""
+        live = {self._folder(b, v) for b, v in (self._live() or {}).items()}
+        versions = list_paths(self.spark, f"{self.path}/{self.PARTITION}=*/{self.VERSION}=*")
+        mine = {"/".join(folder.rsplit("/", 2)[1:]) for folder in live}
+        old = [p for p in versions if "/".join(p.rsplit("/", 2)[1:]) not in mine]
+        for folder in old:
+            delete_path(self.spark, folder)
+        return old
 
 
 class CopartitionedTable:

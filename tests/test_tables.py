@@ -10,6 +10,7 @@ from keelson.operators.upsert import upsert
 from keelson.session import scratch_dir
 from keelson.sources.tables import (
     BucketedTable,
+    ConcurrentChange,
     FileKeyedTable,
     SnapshotTable,
     append,
@@ -90,6 +91,60 @@ def test_bucketed_scan_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(_key_bucket" in plan.toString()
 
 
+def test_a_run_that_dies_leaves_all_buckets(spark, tmp_path, monkeypatch):
+    table = BucketedTable(spark, str(tmp_path / "t"), SCHEMA, "k", 4)
+    table.merge(frame(spark, spark.range(100), "a"), merged)
+    with monkeypatch.context() as broken:
+        broken.setattr(BucketedTable, "_commit", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            table.merge(frame(spark, spark.range(50), "b"), merged)
+    assert table.read().count() == 100 and table.read().filter("h = 'b'").count() == 0
+    # Died while the manifest was written.
+    (tmp_path / "t.manifest" / "000000002").write_text('{"schema": {')
+    (tmp_path / "t.manifest" / "000000003").write_text("")
+    assert table.read().count() == 100
+    table.merge(frame(spark, spark.range(50), "b"), merged)
+    assert table.read().count() == 100 and table.read().filter("h = 'b'").count() == 50
+
+
+def test_the_second_of_two_changes_at_once_fails(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), SCHEMA, "k", 2)
+    table.merge(frame(spark, spark.range(10), "a"), merged)
+
+    def meanwhile(target, source):
+        BucketedTable(spark, table.path, SCHEMA, "k", 2).merge(frame(spark, spark.range(10), "b"), merged)
+        return merged(target, source)
+
+    with pytest.raises(ConcurrentChange, match="another run"):
+        table.merge(frame(spark, spark.range(10), "c"), meanwhile)
+    assert {r.h for r in table.read().collect()} == {"b"}
+
+
+def test_emptied_buckets_and_old_versions_go(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), SCHEMA, "k", 4)
+    table.merge(frame(spark, spark.range(100), "a"), merged)
+    before = table.read()
+    gone = frame(spark, spark.range(100), "a")
+    table.merge(gone.filter("v < 60"), lambda old, new: old.join(new, "k", "left_anti").select("k", "h", "v"))
+    assert sorted(r.v for r in table.read().collect()) == list(range(60, 100))
+    assert before.count() == 100
+    assert len(table.vacuum()) == 4 and table.vacuum() == []
+    assert table.read().count() == 40
+    table.merge(gone, lambda old, new: old.join(new, "k", "left_anti").select("k", "h", "v"))
+    assert table.exists() and table.read().count() == 0
+    table.merge(gone, merged)
+    assert table.read().count() == 100
+
+
+def test_rows_outside_the_touched_buckets_are_refused(spark, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "t"), SCHEMA, "k", 16)
+    table.merge(frame(spark, spark.range(100), "a"), merged)
+    few = frame(spark, spark.range(1), "b")
+    with pytest.raises(ValueError, match="buckets its keys are not in"):
+        table.merge(few, lambda old, new: frame(spark, spark.range(100), "c"))
+    assert table.read().filter("h = 'a'").count() == 100
+
+
 def test_file_keyed_overwrite(spark, tmp_path):
     table = FileKeyedTable(spark, str(tmp_path / "t"), SCHEMA, replace_key="h")
     table.overwrite(frame(spark, spark.range(3), "a").union(frame(spark, spark.range(2), "1e5")))
