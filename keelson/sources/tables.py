@@ -51,6 +51,17 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def read_whole(spark: SparkSession, path: str) -> str:
+    """Text of a small file, without a job."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    file = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+    finally:
+        file.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -103,7 +114,7 @@ class _Evolving:
         if not found:
             return self.schema
         newest = max(found, key=lambda p: int(p.rsplit("/", 1)[1]))
-        text = self.spark.read.text(newest, wholetext=True).first()[0]
+        text = read_whole(self.spark, newest)
         return merged_schema(self.schema, T.StructType.fromJson(json.loads(text)))
 
     def _note(self, schema: T.StructType) -> None:
@@ -281,10 +292,10 @@ class BucketedTable(_Evolving):
     def _manifest(self) -> dict | None:
         """The newest manifest that was written to its end."""
         for number in reversed(self._manifests()):
-            text = self.spark.read.text(f"{self.path}.manifest/{number:09d}", wholetext=True).first()
+            text = read_whole(self.spark, f"{self.path}.manifest/{number:09d}")
             try:
-                return json.loads(text[0])
-            except (TypeError, ValueError):  # the run died while it wrote this one
+                return json.loads(text)
+            except ValueError:  # the run died while it wrote this one
                 continue
         return None
 
