@@ -13,12 +13,14 @@ so no true result is lost.
 
 Defined cases: vectors that are NULL, or hold NULL or non-finite components, take no part; shorter
 vectors count as padded with zeros; equal scores go to the smaller id; repeated rows of an id are
-candidates each, except for the query's own id; components are taken below 2^20 in size, so that
-scores are exact integers; an empty table gives no rows.
+candidates each, except for the query's own id; an empty table gives no rows. Scores are exact: blocks whose
+scores may pass 2^52 are scored in whole numbers of any size, and a best score that 64 bits cannot hold
+fails the job with ``ScoreRange``.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 
 import numpy as np
@@ -33,6 +35,10 @@ BLOCK = 2048
 SCHEMA = "query_id long, vec_id long, score long"
 
 
+class ScoreRange(ArithmeticError):
+    """A score among the best of a query does not fit into 64 bits."""
+
+
 def matrix(column: pa.Array, width: int = 0) -> np.ndarray:
     """Vectors of an Arrow list column as the rows of a matrix, padded with zeros."""
     if isinstance(column, pa.ChunkedArray):
@@ -87,13 +93,29 @@ def best(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k:
     return rows[top], c_ids[cols[top]], scores[top]
 
 
+def best_of_large(q: np.ndarray, q_ids: np.ndarray, c: np.ndarray, c_ids: np.ndarray, k: int):
+    """``best`` where doubles would round: all candidates are scored, in Python's whole numbers."""
+    if not (np.isfinite(q).all() and np.isfinite(c).all()):
+        raise ScoreRange("a scaled component is beyond double precision")
+    whole = np.vectorize(int, otypes=[object])
+    scores = whole(q) @ whole(c).T if c.shape[1] else np.zeros((len(q), len(c)), dtype=object)
+    rows, cols, found = [], [], []
+    for i, own in enumerate(q_ids):
+        others = np.flatnonzero(c_ids != own)
+        for j in heapq.nsmallest(k, others, key=lambda j: (-scores[i, j], c_ids[j])):
+            if not -(2**63) <= scores[i, j] < 2**63:
+                raise ScoreRange(f"the score of {own} and {c_ids[j]} does not fit into 64 bits")
+            rows.append(i), cols.append(j), found.append(scores[i, j])
+    return np.array(rows, dtype=np.int64), c_ids[np.array(cols, dtype=np.int64)], np.array(found, dtype=np.int64)
+
+
 def clean(vectors: DataFrame, scale: float) -> DataFrame:
     """``vec_id, v`` of the usable vectors, as whole numbers in double precision."""
     x = F.transform("embedding", lambda e: e.cast("double"))
     bad = F.exists(x, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
-    return vectors.where("embedding is not null and vec_id is not null").where(~bad).select(
-        "vec_id", F.transform(x, lambda e: F.floor(e * scale).cast("double")).alias("v")
-    )
+    # From 2^52 on a double is whole, and floor would not fit it into 64 bits.
+    floored = F.transform(x, lambda e: F.when(F.abs(e * scale) < 2.0**52, F.floor(e * scale).cast("double")).otherwise(e * scale))
+    return vectors.where("embedding is not null and vec_id is not null").where(~bad).select("vec_id", floored.alias("v"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64.0, block: int = BLOCK) -> DataFrame:
@@ -120,12 +142,15 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 64
         width = max(a.shape[1], b.shape[1])
         a, b = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b))
         q_ids, c_ids = np.asarray(left.column("vec_id")), np.asarray(right.column("vec_id"))
-        found = [best(a[i : i + 256], q_ids[i : i + 256], b, c_ids, k) for i in range(0, len(a), 256)]
+        with np.errstate(over="ignore"):
+            reach = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(1, width)
+        search = best if reach < 2.0**52 else best_of_large
+        found = [search(a[i : i + 256], q_ids[i : i + 256], b, c_ids, k) for i in range(0, len(a), 256)]
         rows = np.concatenate([x[0] + 256 * i for i, x in enumerate(found)])
         return pa.table({
             "query_id": q_ids[rows],
             "vec_id": np.concatenate([x[1] for x in found]),
-            "score": np.concatenate([x[2] for x in found]).round().astype(np.int64),
+            "score": np.concatenate([x[2] if x[2].dtype == np.int64 else x[2].round().astype(np.int64) for x in found]),
         })
 
     found = q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(run, SCHEMA)

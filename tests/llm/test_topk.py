@@ -1,0 +1,57 @@
+"""Scores beyond what doubles hold, ids that repeat or are missing, and vectors of other lengths."""
+
+import math
+import random
+
+import pytest
+
+from keelson.llm.topk import top_k
+
+
+def searched(spark, rows, k=20):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = top_k(df, df.where("vec_id % 20 = 0"), k=k)
+    return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect())
+
+
+def brute_force(rows, k=20):
+    whole = [
+        (i, [math.floor(64 * x) for x in v])
+        for i, v, _ in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for q, v in {i: v for i, v in whole if i % 20 == 0}.items():
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def test_large_components_score_exactly(spark):
+    rows = [(0, [2.0**22 + 1 / 64, 3.0, -1.0], 0), (1, [2.0**22 + 1 / 64, 1.0, 1 / 64], 0), (2, [2.0**22, 1.0, 1.0], 0), (20, [2.0**24, -(2.0**24), 0.0], 0), (3, [1.0, 1.0, 1.0], 0)]
+    assert any(abs(score) > 2**53 for *_, score in brute_force(rows))
+    assert searched(spark, rows) == brute_force(rows)
+
+
+def test_huge_components_that_meet_zeros(spark):
+    rows = [(0, [1e60, 0.0], 0), (1, [0.0, 1e300], 0), (2, [0.0, 2.0], 0)]
+    assert searched(spark, rows) == [(0, 1, 1, 0), (0, 2, 2, 0)]
+
+
+def test_a_score_beyond_64_bits_is_an_error(spark):
+    with pytest.raises(Exception, match="does not fit into 64 bits"):
+        searched(spark, [(0, [1e300], 0), (1, [1e300], 0)])
+    with pytest.raises(Exception, match="beyond double precision"):
+        searched(spark, [(0, [1e308], 0), (1, [1.0], 0)])
+
+
+def test_repeats_missing_values_and_other_lengths(spark):
+    pick = random.Random(3)
+    rows = [(i, [pick.choice([-1.5, 0.0, 0.25, 1.0]) for _ in range(pick.choice([1, 3, 4]))], i % 3) for i in range(200)]
+    rows += [(7, rows[7][1], 1), (7, [9.0], 1), (40, rows[40][1], 2), (None, [1.0], 0), (300, None, 0), (301, [None, 1.0], 0), (302, [float("nan")], 0), (303, [], 0)]
+    assert searched(spark, rows) == brute_force(rows)
+    assert searched(spark, rows, k=3) == brute_force(rows, k=3)
+
+
+def test_an_empty_table_gives_no_rows(spark):
+    assert searched(spark, []) == []
