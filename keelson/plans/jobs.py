@@ -145,9 +145,11 @@ def ingest_new(
     before) or ``unchanged`` (not read).
 
     The ledger is published after the raw rows. A run that dies between the two ingests the same
-    sources again, which replaces their rows by the same.
+    sources again, which replaces their rows by the same; so does the second of two runs at once, which
+    fails at the ledger.
     """
     key = tables.bronze.replace_key
+    since = tables.ledger.state()
     known = tables.ledger.read()
     listing = ledger.compared(ledger.listed(spark, paths, name_from, key), known).cache()
     try:
@@ -164,7 +166,7 @@ def ingest_new(
                     rows = read_drops(spark, list(headers), contract, run, name_from, headers)
                     tables.bronze.replace(rows, [r[0] for r in wanted.select("source").collect()])
                 noted = found.select(ledger.LEDGER_SCHEMA.fieldNames())
-                tables.ledger.publish(replace_by(known, noted, "source"))
+                tables.ledger.publish(replace_by(known, noted, "source"), since)
                 narrowed = {r.source: r.state for r in found.select("source", "state").collect()}
             finally:
                 found.unpersist()

@@ -51,6 +51,17 @@ def write_new(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
+def claimed(spark: SparkSession, path: str, text: str) -> bool:
+    """Whether this run was the one to write the file; another may have been before it."""
+    try:
+        write_new(spark, path, text)
+    except Py4JJavaError:
+        if path_exists(spark, path):
+            return False
+        raise
+    return True
+
+
 def read_whole(spark: SparkSession, path: str) -> str:
     """Text of a small file, without a job."""
     jvm = spark.sparkContext._jvm
@@ -211,10 +222,20 @@ class FileKeyedTable(_Evolving):
         everything.option("partitionOverwriteMode", "static").parquet(self.path)
 
 
+class ConcurrentChange(RuntimeError):
+    """Another run changed the table meanwhile; nothing was published."""
+
+
 class SnapshotTable:
     """``<path>/snapshot=<n>``. Spark cannot overwrite what it is reading, and a reader must not
-    see half a rewrite, so each change writes the next snapshot and readers take the newest
-    finished one. A run that dies leaves an unfinished folder nobody reads."""
+    see half a rewrite, so each change writes the next snapshot and readers take the published one.
+
+    ``<path>.commits/<m>`` names the snapshot that is the table after its m-th change, and is written last: a run
+    that dies leaves a folder nobody reads. Of two runs that start from the same state the second to finish
+    fails, so no change is lost. ``<path>.started/<n>`` reserves a snapshot's number for one run. A table
+    without commits (written by other means) is its newest finished snapshot. Old snapshots stay until
+    ``vacuum``.
+    """
 
     def __init__(
         self,
@@ -231,31 +252,57 @@ class SnapshotTable:
         found = list_paths(self.spark, f"{self.path}/{pattern}")
         return sorted(int(re.search(r"/snapshot=(\d+)(/_SUCCESS)?$", p)[1]) for p in found)
 
+    def state(self) -> int:
+        """How many changes the table has seen; ``publish`` takes it as what rows were computed from."""
+        found = list_paths(self.spark, f"{self.path}.commits/*")
+        return max((int(p.rsplit("/", 1)[1]) for p in found), default=0)
+
+    def _newest(self) -> int | None:
+        """The published snapshot."""
+        for change in range(self.state(), 0, -1):
+            name = f"{self.path}.commits/{change:09d}"
+            text = read_whole(self.spark, name) if path_exists(self.spark, name) else ""
+            if text.endswith("\n"):  # else the run died while it wrote this
+                return int(text)
+        finished = self._numbers("snapshot=*/_SUCCESS")
+        return finished[-1] if finished else None
+
     def exists(self) -> bool:
-        return bool(self._numbers("snapshot=*/_SUCCESS"))
+        return self._newest() is not None
 
     def read(self) -> DataFrame:
-        finished = self._numbers("snapshot=*/_SUCCESS")
-        if not finished:
+        newest = self._newest()
+        if newest is None:
             return empty(self.spark, self.schema)
-        newest = f"{self.path}/snapshot={finished[-1]}"
-        stored = self.spark.read.parquet(newest)
+        stored = self.spark.read.parquet(f"{self.path}/snapshot={newest}")
         return conform(stored, merged_schema(self.schema, stored.schema))
 
-    def publish(self, rows: DataFrame) -> None:
-        """Write the next snapshot; columns the table did not have are added to it."""
+    def publish(self, rows: DataFrame, since: int | None = None) -> None:
+        """Write the next snapshot; columns the table did not have are added to it. ``since`` is the state
+        the rows were computed from, where that was read before."""
+        since = self.state() if since is None else since
         rows = conform(rows, merged_schema(self.schema, rows.schema))
         if self.cluster_by:
             rows = clustered(rows, self.cluster_by, self.spread_by)
-        started = self._numbers("snapshot=*")
-        rows.write.parquet(f"{self.path}/snapshot={started[-1] + 1 if started else 1}")
+        number = max(self._numbers("snapshot=*"), default=0) + 1
+        while not claimed(self.spark, f"{self.path}.started/{number:09d}", ""):
+            number += 1
+        rows.write.parquet(f"{self.path}/snapshot={number}")
+        if not claimed(self.spark, f"{self.path}.commits/{since + 1:09d}", f"{number}\n"):
+            raise ConcurrentChange(f"{self.path}: changed by another run")
 
     def merge(self, source: DataFrame, change: Change, keys: DataFrame | None = None) -> None:
-        self.publish(change(self.read(), source))
-
+        since = self.state()
+        self.publish(change(self.read(), source), since)
 
-class ConcurrentChange(RuntimeError):
-    """Another run changed the table meanwhile; nothing was published."""
+    def vacuum(self) -> list[str]:
+        """Delete all snapshots but the published one; returns their folders. Not while a change or a reader of
+        an older state is at work."""
+        newest = self._newest()
+        old = [p for p in list_paths(self.spark, f"{self.path}/snapshot=*") if not p.endswith(f"/snapshot={newest}")]
+        for folder in old:
+            delete_path(self.spark, folder)
+        return old
 
 
 class BucketedTable(_Evolving):
@@ -311,13 +358,9 @@ class BucketedTable(_Evolving):
         return merged_schema(noted, T.StructType.fromJson(manifest["schema"])) if manifest else noted
 
     def _commit(self, number: int, live: dict[int, str], schema: T.StructType) -> None:
-        name = f"{self.path}.manifest/{number:09d}"
-        try:
-            write_new(self.spark, name, json.dumps({"schema": schema.jsonValue(), "buckets": live}))
-        except Py4JJavaError as error:
-            if path_exists(self.spark, name):
-                raise ConcurrentChange(f"{self.path}: changed by another run") from error
-            raise
+        text = json.dumps({"schema": schema.jsonValue(), "buckets": live})
+        if not claimed(self.spark, f"{self.path}.manifest/{number:09d}", text):
+            raise ConcurrentChange(f"{self.path}: changed by another run")
 
     def exists(self) -> bool:
         return self._live() is not None

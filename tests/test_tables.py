@@ -69,6 +69,48 @@ def test_more_than_ten_snapshots_are_ordered_by_number(spark, tmp_path):
     assert table.read().count() == 11
 
 
+def test_the_second_of_two_snapshots_from_one_state_fails(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), SCHEMA)
+    table.merge(frame(spark, spark.range(10), "a"), merged)
+
+    def meanwhile(target, source):
+        SnapshotTable(spark, table.path, SCHEMA).merge(frame(spark, spark.range(5), "b"), merged)
+        return merged(target, source)
+
+    with pytest.raises(ConcurrentChange, match="another run"):
+        table.merge(frame(spark, spark.range(10), "c"), meanwhile)
+    assert sorted(r.h for r in table.read().collect()) == ["a"] * 5 + ["b"] * 5
+    table.merge(frame(spark, spark.range(10), "c"), merged)
+    assert {r.h for r in table.read().collect()} == {"c"}
+
+
+def test_a_late_finisher_does_not_hide_the_published_snapshot(spark, tmp_path):
+    """A run that took its number first and finished last, and one that died while it said so."""
+    table = SnapshotTable(spark, str(tmp_path / "t"), SCHEMA)
+    since = table.state()
+    other = SnapshotTable(spark, table.path, SCHEMA)
+    (tmp_path / "t.started").mkdir()
+    (tmp_path / "t.started" / "000000001").write_text("")
+    other.publish(frame(spark, spark.range(5), "b"))
+    assert (tmp_path / "t" / "snapshot=2" / "_SUCCESS").exists()
+    frame(spark, spark.range(9), "late").write.parquet(str(tmp_path / "t" / "snapshot=3"))
+    with pytest.raises(ConcurrentChange):
+        table.publish(frame(spark, spark.range(9), "late"), since)
+    (tmp_path / "t.commits" / "000000002").write_text("3")
+    assert {r.h for r in table.read().collect()} == {"b"}
+    table.merge(frame(spark, spark.range(5), "c"), merged)
+    assert {r.h for r in table.read().collect()} == {"c"} and table.state() == 3
+
+
+def test_snapshots_of_a_table_without_commits_and_old_ones(spark, tmp_path):
+    frame(spark, spark.range(5), "a").write.parquet(str(tmp_path / "t" / "snapshot=1"))
+    table = SnapshotTable(spark, str(tmp_path / "t"), SCHEMA)
+    assert table.exists() and table.vacuum() == []
+    table.merge(frame(spark, spark.range(3), "b"), merged)
+    assert [p.rsplit("/", 1)[1] for p in table.vacuum()] == ["snapshot=1"]
+    assert table.read().filter("h = 'b'").count() == 3 and table.read().count() == 5
+
+
 def test_bucketed_table_rewrites_only_touched_buckets(spark, tmp_path):
     table = BucketedTable(spark, str(tmp_path / "t"), SCHEMA, "k", 16, ("v",))
     table.merge(frame(spark, spark.range(1000), "a"), merged)
