@@ -40,6 +40,18 @@ SEGMENT = 25
 RUN = 50
 
 
+def _with_class(rows: DataFrame, classes: DataFrame, share: int = 1000) -> DataFrame:
+    """``rows`` joined to their class by ``para``; ``classes`` is stored and has ``n``, the rows of each.
+
+    The rows of a class that has over a thousandth of all stay where they are: such classes are fewer than a
+    thousand, which bounds what is broadcast. Only the rows of the others move, so no task gets a hot class.
+    """
+    limit = (classes.agg(F.sum("n")).first()[0] or 0) // share
+    hot = F.broadcast(classes.where(F.col("n") > limit))
+    others = rows.join(F.broadcast(classes.where(F.col("n") > limit).select("para")), "para", "left_anti")
+    return rows.join(hot, "para").unionByName(others.join(classes.where(F.col("n") <= limit), "para"))
+
+
 def min_hashes(owner: np.ndarray, hashes: np.ndarray, n: int, count: int) -> np.ndarray:
     """``n`` x ``count`` minima of independent hashes of each set; every set has an element."""
     heads = np.searchsorted(owner, np.arange(n))
@@ -90,13 +102,16 @@ def _elements(batches, least_words: int):
     for batch in batches:
         for part in slices(batch, "text"):
             lines, row, place = _lines(part, least_words)
-            wanted = part.column("places").to_pylist()
-            names = part.column("paras").to_pylist()
+            wanted = {
+                (r, p): name
+                for r, (places, names) in enumerate(zip(part.column("places").to_pylist(), part.column("paras").to_pylist()))
+                for p, name in zip(places, names)
+            }
             pick, ids = [], []
-            for i, (r, p) in enumerate(zip(row.tolist(), place.tolist())):
-                if p in wanted[r]:
+            for i, at in enumerate(zip(row.tolist(), place.tolist())):
+                if at in wanted:
                     pick.append(i)
-                    ids.append(names[r][wanted[r].index(p)])
+                    ids.append(wanted[at])
             if not pick:
                 continue
             owner, hashes, _ = bags(*shingles(lines.take(pa.array(pick))))
@@ -158,8 +173,8 @@ def repeated_paragraphs(
     placed = classes.select("para", "one", "n").join(roots.withColumnRenamed("id", "para"), "para", "left").where("n > 1 or root is not null")
     placed = placed.withColumn("root", F.coalesce("root", "para"))
     first = placed.groupBy("root").agg(F.min("one").alias("first"))
-    placed = placed.join(first, "root").select("para", F.hex("root").alias("passage"), "first")
-    return signed.select("doc_id", "place", "para", "copy").join(placed, "para").select(
+    placed = stored(placed.join(first, "root").select("para", "n", F.hex("root").alias("passage"), "first"), "paragraph-passages")
+    return _with_class(signed.select("doc_id", "place", "para", "copy"), placed).select(
         "doc_id", F.col("place").alias("paragraph"), "passage", F.col("first.doc_id").alias("first_doc_id"),
         (F.col("copy") != F.col("first.copy")).alias("removed"),
     )
@@ -213,12 +228,13 @@ def repeated_segments(documents: DataFrame, width: int = SEGMENT, run: int = RUN
         .withColumn("copy", F.monotonically_increasing_id()),
         "segments",
     )
-    classes = (
+    classes = stored(
         found.groupBy("para")
         .agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "first_word", "copy")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
+        .where("n > 1"),
+        "segment-classes",
     )
-    return found.join(classes, "para").select(
+    return _with_class(found, classes).select(
         "doc_id", F.col("place").alias("paragraph"), F.hex("para").alias("passage"), F.col("first.doc_id").alias("first_doc_id"),
         (F.col("copy") != F.col("first.copy")).alias("removed"), "first_word", F.lit(width).alias("words"),
     )
