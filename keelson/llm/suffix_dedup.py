@@ -19,10 +19,11 @@ are one stretch of text.
    bytes before agree.
 3. The windows found are united by document, and the rest of the bytes is hashed.
 
-Defined cases: NULL text is the empty text; texts shorter than ``length`` lose nothing; NULL ids
-come before all others; rows of one id are one document at the same places: they never remove each
-other's windows at equal starts, and what is found in one is removed from all; an empty table gives
-no rows; other columns are not looked at.
+Defined cases: NULL text is the empty text; texts shorter than ``length`` lose nothing; rows without
+an id are documents in order of a hash of their text, before all ids from -2^62 on, so they are dealt over all
+blocks; rows of one id (or of none and one text) are one document at the same places: they never
+remove each other's windows at equal starts, and what is found in one is removed from all; an empty
+table gives no rows; other columns are not looked at and may have any name.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keelson.llm.common import blocks, mix, random_words, ready, slices, stored, utf8
 
@@ -409,11 +412,11 @@ def _spans(packed: pa.Table, length: int) -> dict[int, list[tuple[int, int]]]:
 
 
 def _prepared(documents: DataFrame, n: int, rest: list[str] = ()) -> DataFrame:
-    """Texts by block; NULL ids as the smallest number."""
-    own = F.coalesce("doc_id", F.lit(_NO_ID)).cast("long")
-    return documents.select(
-        F.pmod(own, F.lit(n)).cast("int").alias("_block_of"), own.alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *rest
-    )
+    """Texts by block; rows without an id get one of the smallest numbers. ``row`` holds what is given back."""
+    text = F.coalesce("text", F.lit(""))
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID) + F.pmod(F.xxhash64(text), F.lit(1 << 62)))
+    kept = F.struct("doc_id", *(F.col(f"`{c}`") for c in rest)).alias("row")
+    return documents.select(F.pmod(own, F.lit(n)).cast("int").alias("block"), own.alias("doc_id"), text.alias("text"), kept)
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> tuple[int, DataFrame]:
@@ -427,7 +430,7 @@ def repeated_spans(documents: DataFrame, length: int = LENGTH, block_bytes: int
         "suffix-anchors",
     )
     merged = stored(
-        texts.groupBy("_block_of").cogroup(compared.where(f"kind = {EDGE}").groupBy("place"))
+        texts.groupBy("block").cogroup(compared.where(f"kind = {EDGE}").groupBy("place"))
         .applyInArrow(lambda a, b: _suffixes(a, b, length, n), PACKED)
         .groupBy("place").applyInArrow(lambda t: _merge_runs(t, length, n), PACKED),
         "suffix-merged",
@@ -453,12 +456,12 @@ def dedup_bytes(documents: DataFrame, length: int = LENGTH, **options) -> DataFr
             out.append((doc, len(data), removed, count, hashlib.sha256(b"".join(kept)).hexdigest()))
         columns = list(zip(*out)) or [[]] * 5
         return pa.table({
-            "doc_id": pa.array([None if x == _NO_ID else x for x in columns[0]], pa.int64()),
+            "doc_id": pc.struct_field(left.column("row"), "doc_id").cast(pa.int64()),
             **{name: pa.array(columns[i], pa.int64()) for i, name in ((1, "n_bytes"), (2, "n_removed"), (3, "n_spans"))},
             "kept_sha256": pa.array(columns[4], pa.string()),
         })
 
-    return _prepared(documents, n).groupBy("_block_of").cogroup(found.groupBy("place")).applyInArrow(
+    return _prepared(documents, n).groupBy("block").cogroup(found.groupBy("place")).applyInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -469,8 +472,8 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, **options) -> Da
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         spans = _spans(right, length)
-        ids, out = left.column("doc_id").to_pylist(), []
-        for doc, text in zip(ids, left.column("text").to_pylist()):
+        out = []
+        for doc, text in zip(left.column("doc_id").to_pylist(), left.column("text").to_pylist()):
             data, kept, at = text.encode(), [], 0
             for low, high in spans.get(doc, ()):
                 high = min(high, len(data))
@@ -483,11 +486,9 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, **options) -> Da
                     at = high
             kept.append(data[at:])
             out.append(b"".join(kept).decode())
-        columns = {c: left.column(c) for c in left.column_names if c not in ("_block_of", "doc_id", "text")}
-        return pa.table({"doc_id": pa.array([None if x == _NO_ID else x for x in ids], pa.int64()), "text": pa.array(out, pa.string()), **columns})
-
-    rest = [c for c in documents.columns if c not in ("doc_id", "text")]
-    kinds = {f.name: f.dataType.simpleString() for f in documents.schema.fields}
-    schema = ", ".join(["doc_id long", "text string", *[f"`{c}` {kinds[c]}" for c in rest]])
-    rows = _prepared(documents, n, rest)
-    return rows.groupBy("_block_of").cogroup(found.groupBy("place")).applyInArrow(cut, schema).select(documents.columns)
+        return pa.table({"text": pa.array(out, pa.string()), "row": left.column("row")})
+
+    rows = _prepared(documents, n, [c for c in documents.columns if c not in ("doc_id", "text")])
+    schema = T.StructType([T.StructField("text", T.StringType()), rows.schema["row"]])
+    cut_rows = rows.groupBy("block").cogroup(found.groupBy("place")).applyInArrow(cut, schema)
+    return cut_rows.select(*("text" if c == "text" else F.col(f"row.`{c}`").alias(c) for c in documents.columns))
