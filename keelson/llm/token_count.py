@@ -82,13 +82,14 @@ def tokenizer_digest(path: str) -> str:
 
 
 def _cached(spark, cache: str, version: str) -> DataFrame:
+    """One row per digest: two runs at once may both append one they miss."""
     try:
         counts = spark.read.schema(CACHE_SCHEMA).parquet(cache)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         counts = spark.createDataFrame([], CACHE_SCHEMA)
-    return counts.where(F.col("tokenizer") == version).select("content", "n_tokens")
+    return counts.where(F.col("tokenizer") == version).groupBy("content").agg(F.min("n_tokens").alias("n_tokens"))
 
 
 def count_tokens(

@@ -16,7 +16,7 @@ from keelson.llm.mixture import mix_sources, mixed_documents
 from keelson.llm.queries import llm_oracles, llm_queries
 from keelson.llm.rp_forest import near_duplicates
 from keelson.llm.shards import assign_shards
-from keelson.llm.suffix_dedup import dedup_bytes, without_repeats
+from keelson.llm.suffix_dedup import _prepared, dedup_bytes, without_repeats
 from keelson.llm.token_count import count_tokens
 from keelson.llm.topk import top_k
 from keelson.session import scratch_dir
@@ -90,6 +90,15 @@ def test_token_cache_is_used_and_appended(spark, documents):
     assert spark.read.parquet(cache).count() > first
 
 
+def test_a_digest_stored_twice_counts_once(spark, documents):
+    """As two runs at once leave it."""
+    cache, path = scratch_dir(spark, "cache"), public_tokenizers.path("word_bpe_49k.json")
+    count_tokens(documents, path, cache).count()
+    spark.read.parquet(cache).write.mode("append").parquet(f"{cache}-copy")
+    spark.read.parquet(f"{cache}-copy").write.mode("append").parquet(cache)
+    check_counts(documents, cache)
+
+
 # --- 5: suffix-array dedup --------------------------------------------------------------------
 
 
@@ -123,6 +132,23 @@ def test_suffix_dedup_on_whole_table(spark, sf_dir):
     assert {i: tuple(r) for i, r in found.items()} == brute_spans(rows)
 
 
+def test_suffix_dedup_of_rows_without_ids(spark, sf_dir):
+    """They are documents of their own, dealt over all blocks, and keep their other columns whatever the names."""
+    texts = [t for (t,) in real(spark, sf_dir).select("text").distinct().limit(120).collect() if t]
+    texts += [texts[0] + " and more", texts[0][50:]]
+    given = [(None if i % 3 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(given, "doc_id long, text string").withColumns({"block": F.lit(7), "row": F.lit("r"), "place": F.col("doc_id")})
+    known = _prepared(docs, 13)
+    assert known.where("row.doc_id is null").select("block").distinct().count() > 3
+    ids = {r["text"]: r["doc_id"] for r in known.collect()}
+    wanted = brute_spans([(ids[t], t) for t in texts])
+    shown = {ids[t]: i for i, t in given}
+    found = sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in dedup_bytes(docs, block_bytes=20_000).collect())
+    assert found == sorted((str(shown[i]), *rest) for i, *rest in wanted.values())
+    cut = without_repeats(docs, block_bytes=20_000)
+    assert cut.columns == docs.columns and cut.where("block = 7 and row = 'r' and place <=> doc_id").count() == len(texts)
+
+
 def test_suffix_cut_keeps_characters_and_columns(spark, documents):
     cut = without_repeats(documents)
     assert cut.columns == documents.columns and cut.count() == documents.count()
