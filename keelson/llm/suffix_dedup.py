@@ -44,6 +44,7 @@ GRAM = 48
 STRIDE = 8
 BLOCK_BYTES = 8 << 20
 RUN_BYTES = 32 << 20
+BLOCKS = 16
 _BYTE = random_words(41, 256)
 _FACTOR = 0xD6E8FEB86659FD93
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
@@ -419,21 +420,27 @@ def _prepared(documents: DataFrame, n: int, rest: list[str] = ()) -> DataFrame:
     return documents.select(F.pmod(own, F.lit(n)).cast("int").alias("block"), own.alias("doc_id"), text.alias("text"), kept)
 
 
+def _dealt(rows: DataFrame, by: str, n: int) -> DataFrame:
+    """Rows in partitions of whole blocks, ``BLOCKS`` in each where the session asks for fewer partitions: their
+    number follows the input, so what a task reads does not."""
+    asked = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(asked, n // BLOCKS), by)
+
+
 def repeated_spans(documents: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> tuple[int, DataFrame]:
     """``(n, found)``: the number of blocks of text, and the packed windows to remove by block."""
     ready(documents.sparkSession)
     n = blocks(documents, block_bytes)
     texts = _prepared(documents, n)
     compared = stored(
-        texts.select("doc_id", "text").mapInArrow(lambda x: _find(x, length, n, RUN_BYTES), PACKED)
+        _dealt(texts.select("doc_id", "text").mapInArrow(lambda x: _find(x, length, n, RUN_BYTES), PACKED), "place", n)
         .groupBy("place").applyInArrow(lambda t: _resolve(t, n), PACKED),
         "suffix-anchors",
     )
+    edges = _dealt(compared.where(f"kind = {EDGE}"), "place", n).groupBy("place")
+    runs = _dealt(texts, "block", n).groupBy("block").cogroup(edges).applyInArrow(lambda a, b: _suffixes(a, b, length, n), PACKED)
     merged = stored(
-        texts.groupBy("block").cogroup(compared.where(f"kind = {EDGE}").groupBy("place"))
-        .applyInArrow(lambda a, b: _suffixes(a, b, length, n), PACKED)
-        .groupBy("place").applyInArrow(lambda t: _merge_runs(t, length, n), PACKED),
-        "suffix-merged",
+        _dealt(runs, "place", n).groupBy("place").applyInArrow(lambda t: _merge_runs(t, length, n), PACKED), "suffix-merged"
     )
     return n, compared.where(f"kind = {GONE}").union(merged)
 
@@ -461,7 +468,8 @@ def dedup_bytes(documents: DataFrame, length: int = LENGTH, **options) -> DataFr
             "kept_sha256": pa.array(columns[4], pa.string()),
         })
 
-    return _prepared(documents, n).groupBy("block").cogroup(found.groupBy("place")).applyInArrow(
+    found = _dealt(found, "place", n).groupBy("place")
+    return _dealt(_prepared(documents, n), "block", n).groupBy("block").cogroup(found).applyInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -490,5 +498,6 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, **options) -> Da
 
     rows = _prepared(documents, n, [c for c in documents.columns if c not in ("doc_id", "text")])
     schema = T.StructType([T.StructField("text", T.StringType()), rows.schema["row"]])
-    cut_rows = rows.groupBy("block").cogroup(found.groupBy("place")).applyInArrow(cut, schema)
+    found = _dealt(found, "place", n).groupBy("place")
+    cut_rows = _dealt(rows, "block", n).groupBy("block").cogroup(found).applyInArrow(cut, schema)
     return cut_rows.select(*("text" if c == "text" else F.col(f"row.`{c}`").alias(c) for c in documents.columns))
