@@ -194,10 +194,10 @@ def _segments(batches, width: int, run: int):
             n = len(words) - width + 1
             both = []
             for seed in (37, 41):
-                terms = random_words(seed, width) | np.uint64(1)
+                terms, mixed = random_words(seed, width) | np.uint64(1), mix(words ^ np.uint64(seed))
                 total = np.zeros(n, np.uint64)
                 for k in range(width):
-                    total += mix(words[k : n + k] ^ np.uint64(seed)) * terms[k]
+                    total += mixed[k : n + k] * terms[k]
                 both.append(mix(total))
             starts = np.flatnonzero(row[: len(words) - run + 1] == row[run - 1 :])
             least = np.lib.stride_tricks.sliding_window_view(both[0], reach)
