@@ -54,10 +54,10 @@ def plain_path(encoded: str) -> str:
     return re.sub("^([a-zA-Z0-9+.-]+):///", r"\1:/", unquote(encoded))
 
 
-def bucket_of(key: str, buckets: int) -> Column:
+def bucket_of(key: str | Column, buckets: int) -> Column:
     """Bucket by the hash Spark shuffles on, so rows shuffled by key are already grouped by
     bucket when the number of shuffle partitions is a multiple of ``buckets``."""
-    return F.pmod(F.hash(F.col(key)), F.lit(buckets))
+    return F.pmod(F.hash(key), F.lit(buckets))
 
 
 class _SetDigest:

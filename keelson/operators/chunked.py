@@ -5,16 +5,48 @@ work; what one chunk has to know of those before or after it is one row per key
 which a second, small window runs. A key with a third of all rows is so split into its chunks,
 and the second window holds as many rows of it as the covered time has chunks, however many rows
 the table has.
+
+What chunks tell each other costs as much as the rows themselves where a key has a row or two per
+chunk. So only keys that are ``crowded`` are cut; the others are ordered whole, in one shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from keelson.functions import bucket_of
 
 CHUNK = "_chunk"
 MONTH = 30 * 24 * 3600
 
+#: Keys are counted in so many bins. One is crowded that holds more than ``CROWD`` rows and ``UNEVEN`` times the mean.
+BINS, CROWD, UNEVEN = 4096, 10_000, 8
+
+
+def key_type(*keys: tuple[DataFrame, str]) -> T.DataType:
+    """The type in which keys of these frames compare."""
+    first, *others = (rows.select(F.col(key).alias("_key")) for rows, key in keys)
+    for other in others:
+        first = first.union(other)
+    return first.schema["_key"].dataType
+
+
+def bin_of(key: str, kind: T.DataType) -> Column:
+    return bucket_of(F.col(key).cast(kind), BINS)
+
+
+def crowded(kind: T.DataType, *keys: tuple[DataFrame, str], crowd: int = CROWD) -> list[int]:
+    """Bins whose keys have far more rows than those of other bins: those with a hot key, NULL included. One job over
+    the key columns; ``BINS`` numbers reach the driver."""
+    first, *others = (rows.select(bin_of(key, kind).alias("bin")) for rows, key in keys)
+    for other in others:
+        first = first.union(other)
+    counts = {r["bin"]: r["rows"] for r in first.groupBy("bin").agg(F.count("*").alias("rows")).collect()}
+    most = max(crowd, UNEVEN * sum(counts.values()) / max(1, len(counts)))
+    return sorted(b for b, rows in counts.items() if rows > most)
+
 
 def chunk_of(at: str, seconds: int = MONTH) -> Column:
     """Number of the chunk a time falls into."""

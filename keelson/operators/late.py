@@ -6,18 +6,22 @@ version that holds its date, moves a border, or closes a gap between two version
 one, and the result is the same for every order of arrival. The dates of confirmations are needed for
 that: A on day 1, A on day 3 and then B on day 2 makes three versions, without day 3 only two.
 
-Only keys that occur in a load are worked on; all others pass through.
+Only keys that occur in a load are worked on; all others pass through. Observations, versions held and
+keys of the load are dealt out by key together and put in order once; a key with far more rows than
+others goes the way of ``chunked`` instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from keelson.operators.chunked import MONTH, numbered, with_neighbours
-from keelson.operators.evolve import union_evolving
+from keelson.operators.chunked import CROWD, MONTH, bin_of, crowded, key_type, numbered, with_neighbours
+from keelson.operators.dedup import latest_per_key
+from keelson.operators.evolve import conform, merged_schema, union_evolving
 from keelson.operators.scd2 import BUSINESS_KEY, VERSIONING
 from keelson.spec import Run
 
@@ -35,10 +39,7 @@ def observed(
     rows = arrivals.where(F.col(key).isNotNull() & F.col(AT).isNotNull()).withColumn(BATCH, F.lit(run.batch_id))
     if observations is not None:
         rows = union_evolving(observations, rows)
-    others = [c for c in rows.columns if c not in (key, AT)]
-    order = F.struct(BATCH, *(tie_break or [c for c in others if c != BATCH]))
-    best = rows.groupBy(key, AT).agg(F.max_by(F.struct(*others), order).alias("_best"))
-    return best.select(key, AT, *(F.col(f"_best.{c}").alias(c) for c in others)).select(*rows.columns)
+    return latest_per_key(rows, [key, AT], BATCH, list(tie_break) or None).select(*rows.columns)
 
 
 def versions_of(
@@ -68,14 +69,84 @@ def apply_late(
     key: str = BUSINESS_KEY,
     hash_column: str = "_record_hash",
     seconds: int = MONTH,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """The dimension after a load whose dates may lie anywhere. ``observations`` are those after the load
     (``observed``), ``arrivals`` at least the keys of the load.
 
     The versions of these keys are made anew and compared with those the dimension has: a version that starts
     as before with the same value keeps the batch that inserted it, and notes this run only where its end or
-    number changed. Repeating a load changes nothing."""
+    number changed. Repeating a load changes nothing. ``seconds`` and ``crowd`` are those of ``chunked``."""
     touched = arrivals.select(key).where(F.col(key).isNotNull()).distinct()
+    held = [(rows, key) for rows in (observations, dimension) if rows is not None]
+    kind = key_type(*held, (touched, key))
+    bins = crowded(kind, *held, crowd=crowd)
+    if not bins:
+        return _in_one_order(dimension, observations, touched, run, key, hash_column)
+    hot = bin_of(key, kind).isin(bins)
+    few, many = ([None if rows is None else rows.where(side) for rows in (dimension, observations, touched)] for side in (~hot, hot))
+    return union_evolving(_in_one_order(*few, run, key, hash_column), _in_chunks(*many, run, key, hash_column, seconds))
+
+
+#: What a row is, in the order in which rows of one key and date stand.
+_TOUCHED, _HELD, _OBSERVED = 0, 1, 2
+
+
+def _in_one_order(
+    dimension: DataFrame | None, observations: DataFrame, touched: DataFrame, run: Run, key: str, hash_column: str
+) -> DataFrame:
+    """Each key's mark, held versions and observations along their dates: a mark comes first, and a version held
+    stands right before the observation of its date. One shuffle and one sort serve all of it."""
+    attributes = [f for f in observations.schema.fields if f.name not in (AT, BATCH)]
+    date = observations.schema[AT].dataType
+    versioning = zip(VERSIONING, (T.IntegerType(), T.BooleanType(), date, date, T.StringType(), T.StringType()))
+    schema = T.StructType([*attributes, *(T.StructField(n, t) for n, t in versioning)])
+    if dimension is not None:
+        schema = merged_schema(dimension.schema, schema)
+    given = [f.name for f in attributes if f.name != key]
+    names = [n for n in schema.fieldNames() if n != key]
+    seen = conform(observations, T.StructType([*(schema[n] for n in (key, *given)), T.StructField(AT, date)]))
+    rows = seen.select(F.col(key).alias("_key"), F.col(AT).alias("_at"), F.lit(_OBSERVED).alias("_is"), F.struct(*given).alias("n"))
+    marks = touched.select(F.col(key).cast(schema[key].dataType).alias("_key"), F.lit(None).cast(date).alias("_at"), F.lit(_TOUCHED).alias("_is"))
+    held = (conform(dimension, schema) if dimension is not None else conform(seen.where(F.lit(False)), schema)).select(
+        F.col(key).alias("_key"), F.col("EffectiveStartDate").alias("_at"), F.lit(_HELD).alias("_is"), F.struct(*names).alias("o")
+    )
+    rows = rows.unionByName(held, allowMissingColumns=True).unionByName(marks, allowMissingColumns=True)
+
+    along = Window.partitionBy("_key").orderBy("_at", "_is")
+    is_observed = F.col("_is") == _OBSERVED
+    value = F.col(f"n.{hash_column}")
+    rows = rows.select(
+        "*",
+        (F.first("_is").over(along.rowsBetween(Window.unboundedPreceding, 0)) == _TOUCHED).alias("_touched"),
+        F.last(F.when(is_observed, F.struct(value.alias("value"))), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_previous"),
+        F.lag(F.when(F.col("_is") == _HELD, F.struct("_at", "o"))).over(along).alias("_was"),
+    )
+    starts = F.col("_previous").isNull() | ~F.col("_previous.value").eqNullSafe(value)
+    # Of a key that is touched only observations are left, of others only versions held.
+    rows = rows.where((is_observed & F.col("_touched") & starts) | ((F.col("_is") == _HELD) & ~F.col("_touched")))
+    rows = rows.select("*", F.row_number().over(along).cast("int").alias("_number"), F.lead("_at").over(along).alias("_until"))
+
+    was = F.when(F.col("_was._at") == F.col("_at"), F.col("_was.o"))
+    same: Column = was.isNotNull() & was[hash_column].eqNullSafe(value)
+    still = was["Version"].eqNullSafe(F.col("_number")) & was["EffectiveEndDate"].eqNullSafe(F.col("_until"))
+    made = {n: F.col(f"n.{n}") for n in given} | {
+        "Version": F.col("_number"),
+        "IsCurrent": F.col("_until").isNull(),
+        "EffectiveStartDate": F.col("_at"),
+        "EffectiveEndDate": F.col("_until"),
+        "_audit_insert_batch": F.when(same, was["_audit_insert_batch"]).otherwise(F.lit(run.batch_id)),
+        "_audit_update_batch": F.when(same & still, was["_audit_update_batch"]).when(same, F.lit(run.batch_id)),
+    }
+    return rows.select(
+        *(F.col("_key").alias(n) if n == key else F.when(is_observed, made.get(n, F.lit(None))).otherwise(F.col(f"o.{n}")).alias(n) for n in schema.fieldNames())
+    )
+
+
+def _in_chunks(
+    dimension: DataFrame | None, observations: DataFrame, touched: DataFrame, run: Run, key: str, hash_column: str, seconds: int
+) -> DataFrame:
+    """The same for keys whose rows are too many for one task."""
     fresh = versions_of(observations.join(touched, key, "left_semi"), key, hash_column, seconds)
     if dimension is None:
         return fresh.select("*", F.lit(run.batch_id).alias("_audit_insert_batch"), F.lit(None).cast("string").alias("_audit_update_batch"))

@@ -400,17 +400,20 @@ def fact_dim_as_of(spark, sf_dir):
 
 @query
 def scd2_late_arrivals(spark, sf_dir):
-    """Every valid delivery dates its customer's record. The early orders arrive after the late ones."""
+    """Every valid delivery dates its customer's record. The early orders arrive after the late ones. The surrogate key
+    follows from the business key, so it is made at the end and not moved."""
     valid = valid_rows(prepare(feed.bronze(spark, sf_dir), SPEC), SPEC, RUNS[0])
     rows = scd2.dimension_source(valid, carry=["_created_at", "_batch_id"]).withColumnRenamed("_created_at", late.AT)
+    rows = rows.drop("SurrogateKey")
     dimension = observations = None
     is_early = F.col("_batch_id") == feed.FIRST_ORDERS_BATCH
     for run, part in ((RUNS[0], rows.filter(~is_early)), (RUNS[1], rows.filter(is_early))):
         arrivals = part.drop("_batch_id")
         found = late.observed(observations, arrivals, run, tie_break=["_record_hash", "customer_unique_id"])
         observations = _stored(spark, found, "observations")
-        dimension = _stored(spark, late.apply_late(dimension, observations, arrivals, run), "gold")
-    return dimension
+        changed = late.apply_late(dimension, observations, arrivals, run)
+        dimension = _stored(spark, changed, "gold") if run is RUNS[0] else changed
+    return dimension.select(functions.surrogate_key(scd2.BUSINESS_KEY).alias("SurrogateKey"), "*")
 
 
 def _by_batch(spark, sf_dir) -> list[DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from keelson.operators import late, scd2
 from keelson.operators.as_of import join_as_of
-from keelson.operators.chunked import numbered, with_neighbours
+from keelson.operators.chunked import crowded, key_type, numbered, with_neighbours
 
 KEY = scd2.BUSINESS_KEY
 DAY = 24 * 3600
@@ -110,6 +110,42 @@ def test_late_loads_bring_new_columns(spark, run_at):
     assert sorted((r[KEY], r.Version, r.score) for r in dimension.collect()) == [("a", 1, 7), ("a", 2, None), ("b", 1, None)]
 
 
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_late_load_is_dealt_out_once(spark, run_at):
+    """The keys of the load are made distinct; observations, versions held and keys then go by key together."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        old, new = arrivals(spark, [("a", 1, "x"), ("b", 3, "x")]), arrivals(spark, [("a", 2, "y")])
+        seen = late.observed(None, old, run_at(1))
+        held = spark.createDataFrame(late.apply_late(None, seen, old, run_at(1)).collect(), late.apply_late(None, seen, old, run_at(1)).schema)
+        both = spark.createDataFrame(late.observed(seen, new, run_at(2)).collect(), late.observed(seen, new, run_at(2)).schema)
+        assert shuffles(late.apply_late(held, both, new, run_at(2))) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_crowded_key_gives_the_same_history(spark, run_at):
+    random.seed(5)
+    rows = [(k, d, random.choice("xyz")) for k, n in [("hot", 200), *((f"k{i}", 3) for i in range(30))] for d in random.sample(range(400), n)]
+    random.shuffle(rows)
+    loads = [rows[::2], [r for r in rows[1::2] if r[0] != "k3"], [("hot", 500, "x")]]
+    found = []
+    for crowd in (20, 10**6):
+        dimension = observations = None
+        for day, load in enumerate(loads, 1):
+            new = arrivals(spark, load)
+            observations = late.observed(observations, new, run_at(day)).localCheckpoint()
+            kind = key_type((observations, KEY))
+            assert len(crowded(kind, (observations, KEY), crowd=crowd)) == (crowd == 20)
+            dimension = late.apply_late(dimension, observations, new, run_at(day), seconds=DAY * 30, crowd=crowd).localCheckpoint()
+        found.append(sorted(map(str, dimension.collect())))
+        assert history(dimension) == model([r for load in loads for r in load])
+    assert found[0] == found[1]
+
+
 def test_chunked_windows_equal_whole_ones(spark):
     random.seed(3)
     rows = [(k, at(d), random.choice("pq")) for k in "ab" for d in random.sample(range(300), 60)]
