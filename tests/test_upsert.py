@@ -3,6 +3,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 
+from keelson.operators import replace
 from keelson.operators.evolve import conform, merged_schema, union_evolving
 from keelson.operators.replace import delete_where, replace_by
 from keelson.operators.upsert import upsert
@@ -109,6 +110,29 @@ def test_replace_by(spark):
     assert sorted(r.v for r in replace_by(once, incoming, "f").collect()) == [3, 4, 8, 9]
 
 
+def test_replace_by_leaves_stored_rows_in_place(spark):
+    """Dealt out by file, all rows of a file would go to one task. Without statistics Spark would do so."""
+    stored = spark.range(1000).selectExpr("concat('f', id % 3) as f", "id as v")
+    incoming = spark.range(3).selectExpr("concat('f', id % 2) as f", "id as v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = replace_by(stored, incoming, "f")
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan  # the distinct names
+        assert result.count() == 333 + 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_replace_by_with_many_values(spark, monkeypatch):
+    monkeypatch.setattr(replace, "FEW", 1)
+    stored = spark.createDataFrame([("a", 1), ("b", 3), (None, 4)], "f string, v int")
+    incoming = spark.createDataFrame([("a", 9), ("c", 8)], "f string, v int")
+    assert sorted(r.v for r in replace_by(stored, incoming, "f").collect()) == [3, 4, 8, 9]
+
+
 contents = st.dictionaries(st.sampled_from("abcdef"), st.sampled_from("xyz"))
 
 
