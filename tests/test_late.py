@@ -283,3 +283,28 @@ def test_as_of_plan_and_a_hot_customer(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "SinglePartition" not in plan
     assert len(rows) == len({r.id for r in rows}) == 60000 and all(r.customer_city == "c" + r.customer for r in rows)
     assert "skew=true" in split
+
+
+def test_as_of_is_dealt_out_once(spark):
+    """Facts and versions go by key together; nothing is made per key and chunk."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = spark.createDataFrame([(1, "a", at(3), "n"), (2, None, at(3), "n")], "id int, customer string, t timestamp, note string")
+        result = join_as_of(facts, dimension(spark, [("a", "x", 1, None)]), "customer", "t")
+        assert shuffles(result) == 1
+        assert {r.id: r.customer_city for r in result.collect()} == {1: "x", 2: None}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_as_of_gives_the_same_for_crowded_keys_and_other_types(spark):
+    random.seed(7)
+    facts = [(i, random.choice([1] * 200 + [None] * 200 + [*range(2, 42)]), random.choice([None, *range(100)])) for i in range(1500)]
+    held = [(k, f"{k}-{d}", at(d), at(e) if e else None) for k in range(41) for d, e in ((0, 20), (20, 50), (60, None), (60, 90))]
+    df = spark.createDataFrame([(i, k, at(d) if d is not None else None) for i, k, d in facts], "id int, customer int, t timestamp")
+    for kind in ("int", "bigint"):
+        versions = spark.createDataFrame(held, f"{KEY} {kind}, customer_city string, EffectiveStartDate timestamp, EffectiveEndDate timestamp")
+        whole, split = (join_as_of(df, versions, "customer", "t", crowd=crowd) for crowd in (10**6, 50))
+        assert shuffles(split) > shuffles(whole) == 1 and dict(whole.dtypes)["customer"] == "int"
+        assert sorted(map(str, whole.collect())) == sorted(map(str, split.collect()))
+        assert whole.count() == 1500
