@@ -10,6 +10,9 @@ An overlap is never narrower than 0.9 of the distance of a pair at the cosine. A
 overlaps do not split well is dense: nearly all its pairs are close to the cosine, and any cut would
 part links. It is compared whole, and where the upper splits find it, in blocks over several tasks.
 
+Cells are dealt out in rounds of bounded size, and a task gives its links away in runs as it finds them, so
+neither disk nor memory follows the number of trees or of links.
+
 Equal vectors form one class, which is indexed once and weighs as many links as it has rows, so a
 group of copies never meets in one leaf.
 
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +46,12 @@ SAMPLE = 20_000
 OVERLAP = 0.9
 WHOLE = 0.65
 TRIES = 4
+#: Products, and pairs, that a task holds at a time.
+HELD = 1 << 18
+#: Rows whose way down the forest is found at a time.
+ROUTED = 2048
+#: Bytes dealt out in a round, if twice the vectors is less, and to a partition of it.
+ROUND, PART = 1 << 30, 64 << 20
 
 
 def units(x: np.ndarray) -> np.ndarray:
@@ -94,44 +104,71 @@ def upper_tree(
     return levels
 
 
-def route(x: np.ndarray, levels) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, cell)`` of every cell each row falls into."""
+def route(x: np.ndarray, levels, first: int = 0, last: float = math.inf) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, cell)`` of every cell from ``first`` to ``last`` each row falls into."""
     rows, node = np.arange(len(x)), np.zeros(len(x), np.int64)
-    for way, low, high in levels:
+    for rest, (way, low, high) in zip(range(len(levels) - 1, -1, -1), levels):
         p = np.einsum("ij,ij->i", x[rows], way[node])
         left, right = p <= high[node], p >= low[node]
         rows, node = np.concatenate([rows[left], rows[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
+        there = (node + 1 << rest > first) & (node << rest <= last)
+        rows, node = rows[there], node[there]
     return rows, node
 
 
-def leaf_pairs(
+def leaf_runs(
     given: np.ndarray, seed: int, leaf: int, spill: float, cosine: float, side: np.ndarray | None = None
-) -> np.ndarray:
-    """Pairs of rows that share a leaf and reach the cosine; only across sides if given."""
-    x = units(given)
+) -> Iterator[np.ndarray]:
+    """Pairs of rows that share a leaf and reach the cosine, in runs of about ``HELD``; only across sides if given.
+
+    A pair of several leaves may come in several runs.
+    """
     given = given / np.abs(given).max(axis=1, keepdims=True)
-    found, todo = [], [(np.arange(len(x)), 0)]
+    x = given / np.linalg.norm(given, axis=1, keepdims=True)
+    n, found, unsure, held = len(x), [], [], 0
+
+    def decided() -> np.ndarray:
+        sure, close = (np.unique(np.concatenate(codes)) for codes in (found, unsure))
+        codes = np.concatenate([sure, close[reach(given, close // n, close % n, cosine)]])
+        return np.stack([codes // n, codes % n], axis=1)
+
+    todo = [(np.arange(n), 0)]
     while todo:
         rows, level = todo.pop()
+        own = x[rows]
         if len(rows) > leaf and level < 40:
-            way, low, high = cut(x[rows], seed + 7919 * level + len(todo), spill, cosine)
+            way, low, high = cut(own, seed + 7919 * level + len(todo), spill, cosine)
             if low < math.inf:
-                p = x[rows] @ way
+                p = own @ way
                 todo += [(rows[p <= high], level + 1), (rows[p >= low], level + 1)]
                 continue
-        for at in range(0, len(rows), 512):  # a leaf that no direction splits is compared in blocks
-            near = x[rows[at : at + 512]] @ x[rows].T >= cosine - 1e-9
+        step = max(1, min(512, HELD // max(1, len(rows))))
+        for at in range(0, len(rows), step):  # a leaf that no direction splits is compared in blocks
+            cosines = own[at : at + step] @ own[at:].T
+            near = cosines >= cosine - 1e-9
             if side is not None:
-                near &= side[rows[at : at + 512], None] != side[rows]
+                near &= side[rows[at : at + step], None] != side[rows[at:]]
             a, b = np.nonzero(near)
-            keep = rows[a + at] < rows[b]
-            found.append(rows[a + at][keep] * len(x) + rows[b][keep])
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    a, b = pairs // max(1, len(x)), pairs % max(1, len(x))
-    close = np.flatnonzero(np.abs(np.einsum("id,id->i", x[a], x[b]) - cosine) <= 2e-9)  # the rest is decided
-    sure = np.ones(len(pairs), bool)
-    sure[close] = reach(given, a[close], b[close], cosine)
-    return np.stack([a[sure], b[sure]], axis=1)
+            later = a < b  # rows of a leaf are in order
+            a, b = a[later], b[later]
+            codes, close = rows[at + a] * n + rows[at + b], cosines[a, b] <= cosine + 2e-9  # the rest is decided
+            found.append(codes[~close]), unsure.append(codes[close])
+            held += len(codes)
+            if held >= HELD:
+                yield decided()
+                found, unsure, held = [], [], 0
+    if held:
+        yield decided()
+
+
+def leaf_pairs(
+    given: np.ndarray, seed: int, leaf: int, spill: float, cosine: float, side: np.ndarray | None = None
+) -> np.ndarray:
+    """All pairs of ``leaf_runs``, each once."""
+    n, none = len(given), np.zeros((0, 2), np.int64)
+    pairs = np.concatenate([none, *leaf_runs(given, seed, leaf, spill, cosine, side)])
+    codes = np.unique(pairs[:, 0] * n + pairs[:, 1])
+    return np.stack([codes // max(1, n), codes % max(1, n)], axis=1)
 
 
 def link_vectors(
@@ -148,7 +185,9 @@ def link_vectors(
     )
     widths = classes.groupBy(F.size("v").alias("w")).count().collect()  # a row per length of vectors
     found = [
-        _links(classes.where(F.size("v") == r["w"]), r["count"], r["w"], cosine, trees, spill, cell, leaf, sample) for r in sorted(widths)
+        links
+        for r in sorted(widths)
+        for links in _links(classes.where(F.size("v") == r["w"]), r["count"], r["w"], cosine, trees, spill, cell, leaf, sample)
     ]
     if not found:
         return classes, spark.createDataFrame([], "a long, b long")
@@ -157,81 +196,107 @@ def link_vectors(
 
 def _links(
     usual: DataFrame, n: int, width: int, cosine: float, trees: int, spill: float, cell: int, leaf: int, sample: int
-) -> DataFrame:
-    """Linked ids ``a, b`` among vectors of one length; a pair may come from several trees."""
+) -> list[DataFrame]:
+    """Linked ids ``a, b`` among vectors of one length, by rounds; a pair may come from several trees and rounds."""
     spark = usual.sparkSession
     depth = max(0, math.ceil(math.log2(max(1.0, n / cell)))) if n > cell else 0
     depth = min(depth, max(0, int(math.log2(sample / 16))))
     forest: list = [[] for _ in range(trees)]
     if depth:
         chosen = usual.orderBy(F.xxhash64("key"), "key").limit(sample)
-        rows = units(np.array([r[0] for r in chosen.select("v").collect()]))
+        rows = units(matrix(chosen.select("v").toArrow().column("v"), width))
         forest = [upper_tree(rows, t + 1, depth, spill, cosine) for t in range(trees)]
     forest = spark.sparkContext.broadcast(forest)  # trees x 2^depth <= trees x sample / 16 nodes
 
-    def routed(batches):
+    def routed(batches, cells):
         for batch in batches:
-            x = units(matrix(batch.column("v"), width))
-            for t, levels in enumerate(forest.value):
-                yield batch, t, *route(x, levels)
+            for at in range(0, batch.num_rows, ROUTED):
+                some = batch.slice(at, ROUTED)
+                x = units(matrix(some.column("v"), width))
+                for t, (first, last) in cells.items():
+                    yield some, t, *route(x, forest.value[t], first, last)
 
     def sizes(batches):
-        for _, t, _, node in routed(batches):
-            cells, counts = np.unique(node, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(cells), t, np.int32)), pa.array(cells), pa.array(counts)], names=["tree", "cell", "n"]
-            )
+        counts = np.zeros((trees, 1 << depth), np.int64)
+        for _, t, _, node in routed(batches, everywhere):
+            counts[t] += np.bincount(node, minlength=1 << depth)
+        t, c = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int32)), pa.array(c), pa.array(counts[t, c])], names=["tree", "cell", "n"])
 
     block = 4 * cell
     usual = usual.select("id", "v")
-    dense = {}
+    kind = usual.schema["v"].dataType
+    everywhere = {t: (0, (1 << depth) - 1) for t in range(trees)}
+    row = width * (4 if kind.elementType.typeName() == "float" else 8) + 64
+    rounds, dense = [(everywhere, n * trees * row)], {}
     if depth:
-        large = usual.mapInArrow(sizes, "tree int, cell long, n long").groupBy("tree", "cell").agg(F.sum("n").alias("n"))
-        for t, c, rows in large.where(f"n > {block}").collect():  # cells of the upper splits, of which there are few
-            if forest.value[t][-1][1][c // 2] == math.inf:
+        counted = usual.mapInArrow(sizes, "tree int, cell long, n long").groupBy("tree", "cell").agg(F.sum("n").alias("n"))
+        rounds, most = [], max(ROUND, 2 * n * row)
+        for t, c, rows in sorted(counted.collect()):  # cells of the upper splits, of which there are few
+            if rows > block and forest.value[t][-1][1][c // 2] == math.inf:
                 dense[t, c] = -(-rows // block)
-
-    def deal(batches):
-        for batch, t, row, node in routed(batches):
-            ids = np.asarray(batch.column("id"))
-
-            def part(row, node, own, low, high):
-                return pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(row), t, np.int32)), pa.array(node), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
-                        pa.array(own.astype(np.int32)), batch.column("id").take(pa.array(row)), batch.column("v").take(pa.array(row)),
-                    ],
-                    names=["tree", "cell", "low", "high", "own", "id", "v"],
-                )
-
-            count = np.ones(len(node), np.int64)
-            for c in np.unique(node):
-                count[node == c] = dense.get((t, int(c)), 1)
-            own = (mix(ids[row].astype(np.uint64)) % count.astype(np.uint64)).astype(np.int64)
-            for other in range(int(count.max(initial=0))):  # a block meets every block of its cell
-                at = np.flatnonzero(count > other)
-                yield part(row[at], node[at], own[at], np.minimum(own[at], other), np.maximum(own[at], other))
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks().sort_by("id")
-        x = matrix(table.column("v"), width)
-        first = {c: int(table.column(c)[0].as_py()) for c in ("tree", "cell", "low", "high")}
-        seed = 1_000_003 * (first["tree"] + 1) + first["cell"]
-        side = np.asarray(table.column("own")) if first["low"] < first["high"] else None
-        pairs = leaf_pairs(x, seed, leaf, spill, cosine, side)
-        ids = table.column("id")
-        return pa.table({"a": ids.take(pa.array(pairs[:, 0])), "b": ids.take(pa.array(pairs[:, 1]))})
-
-    dealt = usual.mapInArrow(deal, "tree int, cell long, low int, high int, own int, id long, v array<double>")
-    return dealt.groupBy("tree", "cell", "low", "high").applyInArrow(compare, "a long, b long")
+            size = rows * dense.get((t, c), 1) * row
+            if not rounds or rounds[-1][1] + size > most:
+                rounds.append(({}, 0))
+            cells, dealt = rounds[-1]
+            rounds[-1] = cells | {t: (cells.get(t, (c, c))[0], c)}, dealt + size
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]  # a cell, or two blocks of one
+        ids, own = (np.concatenate([np.asarray(batch.column(c)) for batch in held]) for c in ("id", "own"))
+        tree, c, low, high = (held[0].column(name)[0].as_py() for name in ("tree", "cell", "low", "high"))
+        order = np.argsort(ids)
+        ids, own, place = ids[order], own[order], np.argsort(order)
+        x, at = np.empty((len(ids), width)), 0
+        for batch in held:
+            x[place[at : at + batch.num_rows]] = matrix(batch.column("v"), width)
+            at += batch.num_rows
+        runs = leaf_runs(x, 1_000_003 * (tree + 1) + c, leaf, spill, cosine, own if low < high else None)
+        del held, batch, x
+        for pairs in runs:
+            yield pa.RecordBatch.from_arrays([pa.array(ids[pairs[:, 0]]), pa.array(ids[pairs[:, 1]])], names=["a", "b"])
+
+    def linked(cells: dict[int, tuple[int, int]], size: int) -> DataFrame:
+        blocks = {t: {c: k for (tree, c), k in dense.items() if tree == t} for t in cells}
+
+        def deal(batches):
+            for batch, t, row, node in routed(batches, cells):
+                ids = np.asarray(batch.column("id"))
+
+                def part(row, node, own, low, high):
+                    return pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(row), t, np.int32)), pa.array(node), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
+                            pa.array(own.astype(np.int32)), batch.column("id").take(pa.array(row)), batch.column("v").take(pa.array(row)),
+                        ],
+                        names=["tree", "cell", "low", "high", "own", "id", "v"],
+                    )
+
+                count = np.ones(len(node), np.int64)
+                for c, k in blocks[t].items():
+                    count[node == c] = k
+                own = (mix(ids[row].astype(np.uint64)) % count.astype(np.uint64)).astype(np.int64)
+                for other in range(int(count.max(initial=0))):  # a block meets every block of its cell
+                    at = np.flatnonzero(count > other)
+                    yield part(row[at], node[at], own[at], np.minimum(own[at], other), np.maximum(own[at], other))
+
+        dealt = usual.mapInArrow(deal, f"tree int, cell long, low int, high int, own int, id long, v {kind.simpleString()}")
+        parts = -(-size // PART)
+        if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            dealt = dealt.repartition(parts, "tree", "cell", "low", "high")
+        return dealt.groupBy("tree", "cell", "low", "high").applyInArrow(compare, "a long, b long")
+
+    found = [linked(*part) for part in rounds]
+    return found if len(found) == 1 else [stored(links, "vector-links-of-round") for links in found]
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
     v = F.transform("embedding", lambda e: e.cast("double"))
     bad = F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf"))) | ~F.exists(v, lambda e: e != 0)
-    # 0.0 + x turns -0.0 into 0.0, so that equal vectors have equal bytes.
-    v = F.transform(v, lambda e: e + F.lit(0.0))
-    shown = F.array_join(F.transform(v, lambda e: e.cast("string")), ",")
+    # 0.0 + x turns -0.0 into 0.0, so that equal vectors have equal bytes. Single precision, if given, holds all there is.
+    kind = "float" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "double"
+    v = F.transform("embedding", lambda e: e.cast(kind) + F.lit(0.0).cast(kind))
+    shown = F.array_join(F.transform(v, lambda e: e.cast("double").cast("string")), ",")
     return vectors.where("embedding is not null").where(~bad).select(
         "vec_id", v.alias("v"), F.unhex(F.sha2(shown.cast("binary"), 256)).alias("key")
     )
